@@ -1,6 +1,7 @@
 """The registered queries."""
 
 from eventloom.plans import groups, pairs, rows  # noqa: F401  (registers the queries)
+from eventloom.plans import streams  # noqa: F401  (reuses the SQL of the batch queries)
 from eventloom.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
