@@ -44,34 +44,57 @@ def _same_key(keys: Sequence[str], prefix: str) -> Column:
     return cond
 
 
-def chunk_rows(df: DataFrame, keys: Sequence[str], order: str,
+def _oversized(df: DataFrame, group: Sequence[str], column: str, rows_per_chunk: int) -> DataFrame:
+    """Groups above the bound, with the step that cuts their range of ``column`` evenly."""
+    return (
+        df.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+        .where(F.col("_n") > rows_per_chunk)
+        .select(*[F.col(k).alias("_h_" + k) for k in group], "_lo",
+                F.expr(f"(_hi - _lo) div ((_n + {rows_per_chunk - 1}) div {rows_per_chunk}) + 1")
+                .alias("_width"))
+    )
+
+
+def _piece(column: str) -> Column:
+    return F.coalesce(F.expr(f"(`{column}` - _lo) div _width"), F.lit(0))
+
+
+def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Add ``_chunk`` (stretch number, rising with ``order``) and ``_cut`` (is the key cut).
+    """Add ``_chunk`` (stretch, rising with ``order``) and ``_cut`` (is the key cut).
 
-    ``order`` is an integer column.  Without keys the whole table is one sequence and
-    ``order`` must be a dense sequence number.  A frame that already has stretches keeps
-    them, so several steps over the same keys and order share one cut (:func:`uncut` drops
-    it at the end).
+    The order columns are integers.  A large key is cut evenly by the first one; a piece that
+    is still too large, because the key is busier at some times than at others, is cut again
+    over its own narrower range, and last by the second order column, which parts rows of
+    the same instant.  Without keys the whole table is one sequence and the first order
+    column must be a dense sequence number.
+
+    A frame that already has stretches keeps them, so several steps over the same keys and
+    order share one cut (:func:`uncut` drops it at the end).
     """
     if "_chunk" in df.columns:
         return df
     if not keys:
-        return df.withColumns({"_chunk": F.expr(f"`{order}` div {rows_per_chunk}"),
+        return df.withColumns({"_chunk": F.expr(f"`{order[0]}` div {rows_per_chunk}"),
                                "_cut": F.lit(True)})
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .where(F.col("_n") > rows_per_chunk)
-        .select(*[F.col(k).alias("_h_" + k) for k in keys], "_lo",
-                F.expr(f"(_hi - _lo) div ((_n + {rows_per_chunk - 1}) div {rows_per_chunk}) + 1")
-                .alias("_width"), F.lit(True).alias("_is_cut"))
-    )
-    return (
-        df.join(F.broadcast(large), _same_key(keys, "_h_"), "left")
-        .withColumns({"_chunk": F.coalesce(F.expr(f"(`{order}` - _lo) div _width"), F.lit(0)),
-                      "_cut": F.coalesce("_is_cut", F.lit(False))})
-        .drop("_lo", "_width", "_is_cut", *["_h_" + k for k in keys])
-    )
+    keys = list(keys)
+    large = _oversized(df, keys, order[0], rows_per_chunk).withColumn("_is_cut", F.lit(True))
+    on_key = _same_key(keys, "_h_")
+    helpers = ["_lo", "_width", *["_h_" + k for k in keys]]
+    rows = (df.join(F.broadcast(large), on_key, "left")
+            .withColumns({"_c0": _piece(order[0]), "_cut": F.coalesce("_is_cut", F.lit(False))})
+            .drop(*helpers, "_is_cut"))
+    pieces = ["_c0"]
+    for column in [order[0], *order[1:2]]:
+        group = [*keys, *pieces]
+        dense = _oversized(rows.where("_cut"), group, column, rows_per_chunk)
+        name = f"_c{len(pieces)}"
+        rows = (rows.join(F.broadcast(dense), _same_key(group, "_h_"), "left")
+                .withColumn(name, _piece(column))
+                .drop("_lo", "_width", *["_h_" + k for k in group]))
+        pieces.append(name)
+    return rows.withColumn("_chunk", F.struct(*pieces)).drop(*pieces)
 
 
 def uncut(df: DataFrame) -> DataFrame:
@@ -92,7 +115,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], measures:
     following rows instead of the preceding ones.
     """
     keys = list(keys)
-    rows = chunk_rows(df, keys, order[0], rows_per_chunk)
+    rows = chunk_rows(df, keys, order, rows_per_chunk)
     frame = (
         Window.partitionBy(*keys, "_chunk").orderBy(*_directed(order, reverse))
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
@@ -130,7 +153,7 @@ def neighbourhood(df: DataFrame, keys: Sequence[str], order: Sequence[str], befo
     copies of the ``before`` rows that precede it.
     """
     keys = list(keys)
-    rows = chunk_rows(df, keys, order[0], rows_per_chunk)
+    rows = chunk_rows(df, keys, order, rows_per_chunk)
     per_chunk = Window.partitionBy(*keys, "_chunk")
     tail = (
         rows.where("_cut")

@@ -178,7 +178,7 @@ def run_machine(df: DataFrame, keys: Sequence[str], event: str, machine: Machine
     move = F.lit(machine.packed_move(None)).cast("bigint")
     for name in machine.events:
         move = F.when(F.col(event) == name, F.lit(machine.packed_move(name)).cast("bigint")).otherwise(move)
-    rows = chunk_rows(df.select(*keys, *order, event), keys, order[0], rows_per_chunk).withColumn("_map", move)
+    rows = chunk_rows(df.select(*keys, *order, event), keys, order, rows_per_chunk).withColumn("_map", move)
 
     within = _compose(rows, [*keys, "_chunk"], order, n)
     chunk_map = (

@@ -113,7 +113,7 @@ def sessions(df: DataFrame, keys: Sequence[str], gap_ms: int, order: Sequence[st
     and then counted with map-side aggregation.
     """
     ms = order[0]
-    rows = chunk_rows(df.select(*keys, *order), keys, ms, rows_per_chunk)
+    rows = chunk_rows(df.select(*keys, *order), keys, order, rows_per_chunk)
     starts = neighbourhood(
         rows, keys, order, 1,
         lambda w: {"_new": F.when(F.col(ms) - F.lag(ms, 1).over(w) <= gap_ms, 0).otherwise(1)})
@@ -129,7 +129,7 @@ def sessions(df: DataFrame, keys: Sequence[str], gap_ms: int, order: Sequence[st
 def count_windows(df: DataFrame, keys: Sequence[str], size: int, slide: int, value: str,
                   order: Sequence[str] = ("seq",), rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Count windows: at every ``slide``-th row of a key, reduce its last ``size`` rows."""
-    rows = chunk_rows(df, keys, order[0], rows_per_chunk)
+    rows = chunk_rows(df, keys, order, rows_per_chunk)
     framed = neighbourhood(
         rows, keys, order, size - 1,
         lambda w: {"cnt": F.count(F.lit(1)).over(w.rowsBetween(1 - size, 0)),

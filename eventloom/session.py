@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Event time is epoch-aligned, so every session runs in UTC.  AQE coalesces small
 # shuffle partitions and splits skewed join partitions, also below a later shuffle.
@@ -64,3 +64,22 @@ def work_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="eventloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, source: DataFrame) -> None:
+    """Start shuffles with one partition per 128 MB of the largest table read so far.
+
+    AQE merges small partitions but cannot add any, so the start must fit the input; a
+    fixed 200 would give partitions of hundreds of GB at 100 TB.
+    """
+    size = int(str(source._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or least)
+    wanted = min(size // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))

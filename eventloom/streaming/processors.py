@@ -372,27 +372,19 @@ class FollowedBy(EventTimeProcessor):
 
 
 class EventTimer(EventTimeProcessor):
-    """Each row sets a timer ``delay`` after its time; equal timers of a key fire once."""
+    """Each row sets a timer ``after_ms`` past its time; equal timers of a key fire once.
+
+    A timer is due when the watermark, taken back by ``after_ms``, has reached the row.
+    """
 
     OUT = "user_id long, timer_ms long"
 
     def __init__(self, after_ms: int) -> None:
         self.after_ms = after_ms
-
-    def open(self) -> None:
-        self.timers = self.handle.getMapState("timers", "ms long", "one int")
+        self.delay_ms = -after_ms
 
     def on_ready(self, key, ready, watermark):
-        pending = {r[0] for r in self.timers.keys()} if self.timers.exists() else set()
-        for ms, _, _ in ready:
-            if ms + self.after_ms not in pending:
-                pending.add(ms + self.after_ms)
-                self.timers.updateValue((ms + self.after_ms,), (1,))
-        fired = sorted(t for t in pending if t <= watermark)
-        for t in fired:
-            self.timers.removeKey((t,))
-        rest = pending.difference(fired)
-        return [(key[0], t) for t in fired], (min(rest) if rest else None)
+        return [(key[0], ms + self.after_ms) for ms in sorted({r[0] for r in ready})], None
 
 
 class PeriodicCount(EventTimeProcessor):
@@ -419,7 +411,11 @@ class PeriodicCount(EventTimeProcessor):
 
 
 class TumblingByHand(StatefulProcessor):
-    """A tumbling window from map state and timers at window end - 1."""
+    """A tumbling window from map state (window start -> count) and timers at window end - 1.
+
+    Only the earliest open window of a key has a timer; when it fires, every window that
+    has ended by then is emitted and removed.
+    """
 
     OUT = "url string, window_start long, window_end long, cnt long"
 
@@ -429,25 +425,39 @@ class TumblingByHand(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.counts = handle.getMapState("counts", "window_start long", "cnt long")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _arm(self, start: int) -> None:
+        wanted = start + self.size_ms - 1
+        if self.due.exists():
+            now = self.due.get()[0]
+            if now <= wanted:
+                return
+            self.handle.deleteTimer(now)
+        self.handle.registerTimer(wanted)
+        self.due.update((wanted,))
 
     def handleInputRows(self, key: tuple, rows: Rows, timerValues: Any) -> Rows:
-        for pdf in rows:
-            per_window = (pdf["ts_ms"] // self.size_ms * self.size_ms).value_counts()
-            for start, n in per_window.items():
-                slot = (int(start),)
-                if self.counts.containsKey(slot):
-                    n += self.counts.getValue(slot)[0]
-                else:
-                    self.handle.registerTimer(int(start) + self.size_ms - 1)
-                self.counts.updateValue(slot, (int(n),))
+        per_window = pd.concat([pdf["ts_ms"] // self.size_ms * self.size_ms for pdf in rows]).value_counts()
+        open_counts = {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
+        for start, n in per_window.items():
+            self.counts.updateValue((int(start),), (int(n) + open_counts.get(start, 0),))
+        self._arm(int(per_window.index.min()))
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Rows:
-        end = expiredTimerInfo.getExpiryTimeInMs() + 1
-        slot = (end - self.size_ms,)
-        n = self.counts.getValue(slot)[0]
-        self.counts.removeKey(slot)
-        yield frame(["url", "window_start", "window_end", "cnt"], [(key[0], slot[0], end, n)])
+        watermark = timerValues.getCurrentWatermarkInMs()
+        self.due.clear()
+        counts = {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
+        closed = sorted(s for s in counts if s + self.size_ms - 1 <= watermark)
+        for start in closed:
+            self.counts.removeKey((start,))
+        still_open = counts.keys() - set(closed)
+        if still_open:
+            self._arm(min(still_open))
+        if closed:
+            yield frame(["url", "window_start", "window_end", "cnt"],
+                        [(key[0], s, s + self.size_ms, counts[s]) for s in closed])
 
     def close(self) -> None:
         pass
