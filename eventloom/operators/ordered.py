@@ -70,6 +70,9 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     the same instant.  Without keys the whole table is one sequence and the first order
     column must be a dense sequence number.
 
+    The keys are counted before the plan is built (one pass over the key and order columns,
+    aggregated map-side): without a large key the result is the plain window.
+
     A frame that already has stretches keeps them, so several steps over the same keys and
     order share one cut (:func:`uncut` drops it at the end).
     """
@@ -80,6 +83,8 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                                "_cut": F.lit(True)})
     keys = list(keys)
     large = _oversized(df, keys, order[0], rows_per_chunk).withColumn("_is_cut", F.lit(True))
+    if large.count() == 0:
+        return df.withColumns({"_chunk": F.lit(0), "_cut": F.lit(False)})
     on_key = _same_key(keys, "_h_")
     helpers = ["_lo", "_width", *["_h_" + k for k in keys]]
     rows = (df.join(F.broadcast(large), on_key, "left")

@@ -28,7 +28,7 @@ def with_event_time(df: DataFrame, ms: str = "ts", delay: str | None = None) ->
     return timed.withWatermark("et", delay) if delay else timed
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
+def parquet_stream(spark: SparkSession, path: str, schema: T.StructType | str,
                    files_per_batch: int | None = None) -> DataFrame:
     """An unbounded stream over parquet files, replayable from the start."""
     reader = spark.readStream.schema(schema)

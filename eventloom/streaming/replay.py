@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventloom.session import stream_session, work_dir
@@ -47,21 +46,50 @@ def batches_to_table(df: DataFrame, out: str, checkpoint: str, mode: str,
     return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write))
 
 
+ROWS_PER_SLICE = 20_000_000
+
+
 def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str, *,
-           files_per_batch: int | None = None, mode: str = "append",
+           files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, mode: str = "append",
            shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run ``job`` over the click stream at ``path`` and return what it emitted.
 
+    A keyed processor sees all rows that a micro-batch has for a key at once, so the size of
+    a micro-batch bounds its memory whatever the key skew.  With ``files_per_batch`` the
+    stored files must be in time order and are taken that many at a time.  Otherwise a table
+    above ``rows_per_slice`` rows is first laid out in time slices of about that size, and
+    the stream goes on from its checkpoint slice by slice; a smaller one is one micro-batch.
+    No row is late in either case, whatever files it was stored in.
+
     With ``shape`` or another mode than append the result has ``batch_id``.
     """
     session = stream_session(spark)
     folder = work_dir(spark, "replay")
     out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
-    result = job(click_stream(session, path, files_per_batch))
+
+    def start(source: str) -> DataFrame:
+        result = job(click_stream(session, source, files_per_batch))
+        if mode == "append" and shape is None:
+            finish(append_to_table(result, out, checkpoint))
+        else:
+            finish(batches_to_table(result, out, checkpoint, mode, shape or (lambda b: b)))
+        return result
+
+    stored = spark.read.schema(EVENTS_SCHEMA).parquet(path)
+    slices = 1 if files_per_batch else -(-stored.count() // rows_per_slice)
+    if slices <= 1:
+        result = start(path)
+    else:
+        stage, source = f"{folder}/stage", f"{folder}/source"
+        (stored.repartitionByRange(slices, "ts").withColumn("slice", F.spark_partition_id())
+         .write.partitionBy("slice").parquet(stage))
+        present = sorted(r[0] for r in spark.read.parquet(stage).select("slice").distinct().collect())
+        for i in present:
+            (spark.read.schema(EVENTS_SCHEMA).parquet(f"{stage}/slice={i}")
+             .write.mode("append").parquet(source))
+            result = start(source)
     if mode == "append" and shape is None:
-        finish(append_to_table(result, out, checkpoint))
         return spark.read.schema(result.schema).parquet(out)
-    finish(batches_to_table(result, out, checkpoint, mode, shape or (lambda b: b)))
     return spark.read.parquet(out)
 
 
@@ -75,7 +103,3 @@ def write_slices(events: DataFrame, folder: str, order: str, n: int) -> None:
     for i in range(n):
         part = events.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
         part.coalesce(1).write.mode("append").parquet(folder)
-
-
-def schema_of(fields: Iterable[tuple[str, T.DataType]]) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in fields])

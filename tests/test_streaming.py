@@ -136,6 +136,15 @@ def test_keyed_state(spark, stored, name):
     assert want and rows(out, *cols) == want
 
 
+@pytest.mark.parametrize("name", ["every_nth", "over"])
+def test_time_slices_of_a_table(spark, stored, name):
+    """A table above the slice bound is replayed slice by slice, with the same result."""
+    fields, processor, delay, batch, cols = STATE_JOBS[name]
+    out = replay(spark, lambda s: jobs.stateful(s.select(*fields.split()), "user_id", processor, delay_ms=delay),
+                 stored[0], rows_per_slice=400)
+    assert rows(out, *cols) == rows(batch(stored[1]), *cols)
+
+
 def test_state_machine_and_rules(spark, stored):
     kind = F.when(F.col("url") == "error", "fail").otherwise(F.col("url"))
     out = run(spark, stored, lambda s: jobs.stateful(s.select("seq", "user_id", "ts_ms", kind.alias("kind")), "user_id",
