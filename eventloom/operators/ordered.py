@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from eventloom.session import work_dir
+
 ROWS_PER_CHUNK = 4_000_000
 
 Measures = dict[str, tuple[str, Column]]
@@ -56,6 +58,16 @@ def _oversized(df: DataFrame, group: Sequence[str], column: str, rows_per_chunk:
     )
 
 
+def _written(small: DataFrame) -> DataFrame | None:
+    """The table, stored in the shared folder; None if it is empty."""
+    if small.count() == 0:
+        return None
+    spark = small.sparkSession
+    path = work_dir(spark, "cut")
+    small.write.parquet(path)
+    return spark.read.schema(small.schema).parquet(path)
+
+
 def _piece(column: str) -> Column:
     return F.coalesce(F.expr(f"(`{column}` - _lo) div _width"), F.lit(0))
 
@@ -71,7 +83,8 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     column must be a dense sequence number.
 
     The keys are counted before the plan is built (one pass over the key and order columns,
-    aggregated map-side): without a large key the result is the plain window.
+    aggregated map-side): without a large key the result is the plain window.  The cuts are
+    small tables in the shared folder, so later steps read them instead of counting again.
 
     A frame that already has stretches keeps them, so several steps over the same keys and
     order share one cut (:func:`uncut` drops it at the end).
@@ -82,18 +95,20 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({"_chunk": F.expr(f"`{order[0]}` div {rows_per_chunk}"),
                                "_cut": F.lit(True)})
     keys = list(keys)
-    large = _oversized(df, keys, order[0], rows_per_chunk).withColumn("_is_cut", F.lit(True))
-    if large.count() == 0:
+    large = _written(_oversized(df, keys, order[0], rows_per_chunk))
+    if large is None:
         return df.withColumns({"_chunk": F.lit(0), "_cut": F.lit(False)})
     on_key = _same_key(keys, "_h_")
     helpers = ["_lo", "_width", *["_h_" + k for k in keys]]
     rows = (df.join(F.broadcast(large), on_key, "left")
-            .withColumns({"_c0": _piece(order[0]), "_cut": F.coalesce("_is_cut", F.lit(False))})
-            .drop(*helpers, "_is_cut"))
+            .withColumns({"_c0": _piece(order[0]), "_cut": F.col("_lo").isNotNull()})
+            .drop(*helpers))
     pieces = ["_c0"]
     for column in [order[0], *order[1:2]]:
         group = [*keys, *pieces]
-        dense = _oversized(rows.where("_cut"), group, column, rows_per_chunk)
+        dense = _written(_oversized(rows.where("_cut"), group, column, rows_per_chunk))
+        if dense is None:
+            break
         name = f"_c{len(pieces)}"
         rows = (rows.join(F.broadcast(dense), _same_key(group, "_h_"), "left")
                 .withColumn(name, _piece(column))

@@ -14,7 +14,7 @@ from eventloom.operators import aggregates, lateness, patterns, windows
 from eventloom.operators.ordered import chunk_rows, neighbourhood, running
 from tests.fixtures import rows
 
-BOUNDS = [4, 25, 10_000]
+BOUNDS = [4, 25]
 
 
 @pytest.fixture(scope="module")
@@ -35,8 +35,7 @@ def plain(order=("ts_ms", "seq")):
 
 
 @pytest.mark.parametrize("bound", BOUNDS)
-@pytest.mark.parametrize("inclusive", [True, False])
-@pytest.mark.parametrize("reverse", [True, False])
+@pytest.mark.parametrize("inclusive, reverse", [(True, False), (False, True)])
 def test_running(skewed, bound, inclusive, reverse):
     out = running(skewed, ["user_id"], ["ts_ms", "seq"], {
         "n": ("count", F.lit(1)), "s": ("sum", F.col("ts_ms")), "hi": ("max", F.col("value")),
