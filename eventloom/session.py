@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,15 +55,17 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="eventloom-")
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     Only where the session names none (local tests) does it fall back to a local one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="eventloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
