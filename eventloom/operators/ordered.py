@@ -46,12 +46,13 @@ def _same_key(keys: Sequence[str], prefix: str) -> Column:
     return cond
 
 
-def _oversized(df: DataFrame, group: Sequence[str], column: str, rows_per_chunk: int) -> DataFrame:
+def _oversized(df: DataFrame, group: Sequence[str], column: str, rows_per_chunk: int,
+               which: str = "true") -> DataFrame:
     """Groups above the bound, with the step that cuts their range of ``column`` evenly."""
     return (
         df.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-        .where(F.col("_n") > rows_per_chunk)
+        .where((F.col("_n") > rows_per_chunk) & F.expr(which))
         .select(*[F.col(k).alias("_h_" + k) for k in group], "_lo",
                 F.expr(f"(_hi - _lo) div ((_n + {rows_per_chunk - 1}) div {rows_per_chunk}) + 1")
                 .alias("_width"))
@@ -78,8 +79,8 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     The order columns are integers.  A large key is cut evenly by the first one; a piece that
     is still too large, because the key is busier at some times than at others, is cut again
-    over its own narrower range, and last by the second order column, which parts rows of
-    the same instant.  Without keys the whole table is one sequence and the first order
+    over its own narrower range, and pieces of a single instant by the second order column.
+    Where the order columns are unique, no stretch is above the bound in the end.  Without keys the whole table is one sequence and the first order
     column must be a dense sequence number.
 
     The keys are counted before the plan is built (one pass over the key and order columns,
@@ -104,16 +105,19 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .withColumns({"_c0": _piece(order[0]), "_cut": F.col("_lo").isNotNull()})
             .drop(*helpers))
     pieces = ["_c0"]
-    for column in [order[0], *order[1:2]]:
-        group = [*keys, *pieces]
-        dense = _written(_oversized(rows.where("_cut"), group, column, rows_per_chunk))
-        if dense is None:
-            break
-        name = f"_c{len(pieces)}"
-        rows = (rows.join(F.broadcast(dense), _same_key(group, "_h_"), "left")
-                .withColumn(name, _piece(column))
-                .drop("_lo", "_width", *["_h_" + k for k in group]))
-        pieces.append(name)
+    for column in order[:2]:
+        # Each round at least halves the range of a piece, so this ends; a piece that is then
+        # still too large holds a single value of the column, and only the next one parts it.
+        while True:
+            group = [*keys, *pieces]
+            dense = _written(_oversized(rows.where("_cut"), group, column, rows_per_chunk, "_hi > _lo"))
+            if dense is None:
+                break
+            name = f"_c{len(pieces)}"
+            rows = (rows.join(F.broadcast(dense), _same_key(group, "_h_"), "left")
+                    .withColumn(name, _piece(column))
+                    .drop("_lo", "_width", *["_h_" + k for k in group]))
+            pieces.append(name)
     return rows.withColumn("_chunk", F.struct(*pieces)).drop(*pieces)
 
 

@@ -65,13 +65,28 @@ def test_neighbourhood(skewed, bound, before):
     assert rows(out, "seq", "l", "s") == rows(want, "seq", "l", "s")
 
 
-def test_stretches_stay_near_the_bound(skewed):
+def test_stretches_keep_to_the_bound(skewed):
     cut = chunk_rows(skewed, ["user_id"], ["ts_ms", "seq"], 25)
     sizes = cut.groupBy("user_id", "_chunk").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 60  # the hot key has 360 rows, 250 of them in bursts
+    assert sizes.agg(F.max("count")).first()[0] <= 25
     assert cut.count() == skewed.count()
 
 
+def test_second_order_column_runs_against_the_first(skewed):
+    """The number that parts rows of one instant need not rise with time."""
+    mixed = skewed.withColumn("pos", F.pmod(F.col("seq") * 577, F.lit(1009)))
+    order = ["ts_ms", "pos"]
+    out = running(mixed, ["user_id"], order, {"n": ("count", F.lit(1))}, rows_per_chunk=4)
+    want = mixed.withColumn("n", F.row_number().over(plain(order)))
+    assert rows(out, "seq", "n") == rows(want, "seq", "n")
+
+    def build(w):
+        return {"l": F.lag("seq", 2).over(w)}
+
+    out = neighbourhood(mixed, ["user_id"], order, 2, build, rows_per_chunk=4)
+    assert rows(out, "seq", "l") == rows(mixed.withColumns(build(plain(order))), "seq", "l")
+
+
 @pytest.mark.parametrize("bound", BOUNDS)
 def test_sessions(skewed, bound):
     out = windows.sessions(skewed, ["user_id"], 2, rows_per_chunk=bound)
