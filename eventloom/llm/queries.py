@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, interleave, packing, quality_rules, token_files, url_rules
+from eventloom.llm import (
+    bpe, embedding_lsh, interleave, ngram_join, packing, quality_rules, token_files, url_rules,
+)
 from eventloom.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +26,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_ngram_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"), n=5, threshold=0.8)
+
+
+@query("op3_embedding_lsh")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_lsh.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), cosine=0.9)
+
+
 @query("op2_quality_rules")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
