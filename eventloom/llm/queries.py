@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import (
-    bpe, embedding_lsh, interleave, ngram_join, packing, quality_rules, token_files, url_rules,
+    bpe, embedding_lsh, interleave, ngram_join, packing, pii, preferences, quality_rules, token_files, url_rules,
 )
 from eventloom.llm.common import stored, table
 
@@ -88,6 +88,49 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, WORD_BPE, capacity=2048, end_id=0), capacity=2048)
 
 
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.learn(docs), "base", "added")
+
+    def count(k: int):
+        return F.size(F.filter("base", lambda s: s["k"] == k)).cast("bigint")
+
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.BASE)),
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "added")).alias("spans"))
+
+
+PREFERENCE_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST, text NULLS FIRST) - 1 AS copy
+  FROM conversations WHERE conv_id IS NOT NULL),
+sided AS (SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, conv_id % 2 AS side, * FROM turns),
+spots AS (SELECT pair_id, turn, copy, count(*) = 2 AND count(DISTINCT (role, text)) = 1 AS same
+          FROM sided GROUP BY ALL),
+parting AS (SELECT pair_id, min(struct_pack(l := turn IS NULL, t := coalesce(turn, 0), c := copy)) AS p
+            FROM spots WHERE NOT same GROUP BY 1),
+placed AS (SELECT s.*, p IS NULL OR struct_pack(l := turn IS NULL, t := coalesce(turn, 0), c := copy) < p AS shared
+           FROM sided s LEFT JOIN parting USING (pair_id)),
+parts AS (SELECT *, '<|im_start|>' || replace(coalesce(role, ''), '<|im_', '<| im_') || chr(10) AS head,
+                 replace(coalesce(text, ''), '<|im_', '<| im_') || '<|im_end|>' AS body,
+                 NOT shared AND coalesce(role = 'assistant', false) AS counts
+          FROM placed WHERE NOT shared OR side = 0)
+SELECT pair_id, CASE WHEN shared THEN 'prompt' WHEN side = 0 THEN 'chosen' ELSE 'rejected' END AS part,
+       turn, CAST(copy AS INTEGER) AS copy, role, head || body || chr(10) AS rendered,
+       CAST(CASE WHEN counts THEN length(head) ELSE 0 END AS INTEGER) AS loss_start,
+       CAST(CASE WHEN counts THEN length(head) + length(body) ELSE 0 END AS INTEGER) AS loss_end
+FROM parts"""
+
+
+@query("op9_preferences", PREFERENCE_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return preferences.segments(turns, preferences.neighbours(turns))
+
+
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
