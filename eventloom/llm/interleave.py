@@ -1,7 +1,8 @@
 """Proportional stratified interleaving of rows over shards.
 
 Rows of each source are ranked by a seeded hash; a row's fractional rank is (rank + u) / n
-with n the rows of its source and u in [0, 1) fixed by the source.  Rows sorted by it carry
+with n the rows of its source and u in (0, 1) fixed by the source.  Sources of the same size
+have evenly spaced u, so that many small ones are spread as well.  Rows sorted by it carry
 the mixture of the sources at every point, and the sequence is cut into shards whose row
 counts differ by one at most.
 
@@ -17,10 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import free_names, ranked
+from eventloom.llm.common import free_names, ranked, stored
 
 ROWS_PER_BUCKET = 50_000
-_STEPS = 1 << 20
 
 
 def interleave(rows: DataFrame, *, key: str = "doc_id", source: str = "source", shards: int = 40,
@@ -32,20 +32,22 @@ def interleave(rows: DataFrame, *, key: str = "doc_id", source: str = "source",
     rows = rows.drop("shard", "slot")
     total = rows.count()
     buckets = max(1, -(-total // rows_per_bucket))
-    stratum, h, bucket, rank, n, at, place, one = free_names(
-        rows, "stratum_", "hash_", "bucket_", "rank_", "n_", "at_", "place_", "one_")
+    stratum, h, bucket, rank, n, u, at, place, one = free_names(
+        rows, "stratum_", "hash_", "bucket_", "rank_", "n_", "u_", "at_", "place_", "one_")
     keyed = (rows.withColumn(stratum, F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")))
              .withColumn(h, F.xxhash64(F.lit(seed), F.col(key), *(c for c in rows.columns if c != key)))
              .withColumn(bucket, F.pmod(h, F.lit(buckets))))
     in_source = ranked(keyed, stratum, [F.col(h), F.col(key)], bucket, rank)
-    sizes = keyed.groupBy(stratum).agg(F.count("*").alias(n))
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(stratum)), F.lit(_STEPS)) / F.lit(float(_STEPS))
-    fraction = (in_source.drop(bucket).join(sizes, stratum)
-                .withColumn(at, (F.col(rank) + u) / F.col(n))
+    sizes = stored(keyed.groupBy(stratum).agg(F.count("*").alias(n)), "strata")
+    hashed = F.xxhash64(F.lit(seed), F.col(stratum))
+    strata = ranked(sizes.withColumn(bucket, F.pmod(hashed, F.lit(buckets))), n, [hashed, F.col(stratum)], bucket, rank)
+    strata = strata.join(sizes.groupBy(n).count(), n).select(stratum, n, ((F.col(rank) + 0.5) / F.col("count")).alias(u))
+    fraction = (in_source.drop(bucket).join(strata, stratum)
+                .withColumn(at, (F.col(rank) + F.col(u)) / F.col(n))
                 .withColumn(bucket, F.least(F.floor(F.col(at) * buckets), F.lit(buckets - 1)))
                 .withColumn(one, F.lit(0)))
     placed = ranked(fraction, one, [F.col(at), F.col(stratum), F.col(h), F.col(key)], bucket, place)
     shard = F.expr(f"`{place}` * {shards} div {max(1, total)}")
     return (placed.withColumn("shard", shard.cast("int"))
             .withColumn("slot", F.expr(f"`{place}` - ((`shard` * {total}L + {shards - 1}) div {shards})"))
-            .drop(stratum, h, bucket, rank, n, at, place, one))
+            .drop(stratum, h, bucket, rank, n, u, at, place, one))

@@ -13,12 +13,12 @@ import struct
 import numpy as np
 
 LEVELS = 48
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
     """A bijective mix of 64-bit keys, another one for each seed."""
-    x = keys.astype(np.uint64) + _MIX[2] * np.uint64(2 * seed + 1)
+    x = keys.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (2 * seed + 1)) % 2**64)
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
     x = (x ^ (x >> np.uint64(27))) * _MIX[1]
     return x ^ (x >> np.uint64(31))
