@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.tokens import at_blanks, in_slices, load
 
 _NEVER = 1 << 60
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
 
 # Letters, numbers and white space of Latin-1 after lower-casing.
 _LETTERS, _NUMBERS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"

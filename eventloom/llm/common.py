@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +36,12 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Send texts to Python in small batches, so that a worker holds little at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -55,11 +61,6 @@ def ranked(df: DataFrame, group: str, order: list[Column], bucket: str, rank: st
             .withColumn(rank, F.col(offset) + F.row_number().over(inside) - 1).drop(offset))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Cut a stream of batches, sorted by ``keys``, into one table for each key."""
     held: list[pa.RecordBatch] = []

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm import links
-from eventloom.llm.common import free_names, stored
+from eventloom.llm.common import free_names, small_batches, stored
 from eventloom.llm.mph import mixed
 
-WORDS_CACHED = 1_000_000
+WORDS_CACHED = 250_000
 _word_hash: dict[bytes, int] = {}
 
 
@@ -92,8 +92,9 @@ def sketches(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: int
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "digest", "keys"])
+        _word_hash.clear()
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, "doc_id bigint, digest binary, keys array<bigint>")
 
 
@@ -134,6 +135,7 @@ def _sets(docs: DataFrame, key: str, text: str, n: int):
             for batch in batches:
                 data = [grams(t, n).tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["node", "data"])
+            _word_hash.clear()
 
         own = docs.select(F.col(key).cast("bigint").alias("node"), F.col(text).alias("text"))
         return own.join(links.small(nodes), "node").select("node", "text").mapInArrow(run, "node bigint, data binary")

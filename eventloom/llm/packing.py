@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ranked, stored
+from eventloom.llm.common import ranked, small_batches, stored
 from eventloom.llm.tokens import encoder, in_slices
 
 PIECES_TYPE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int
         return pa.array(rows, pa.list_(pa.struct(fields)))
 
     udf = F.arrow_udf(cut, PIECES_WITH_IDS if with_ids else PIECES_TYPE)
-    return docs.select(F.col(key).alias("doc_id"), F.explode(udf(text)).alias("p")).select("doc_id", "p.*")
+    return small_batches(docs).select(F.col(key).alias("doc_id"), F.explode(udf(text)).alias("p")).select("doc_id", "p.*")
 
 
 def _sum_of_squares(sizes: np.ndarray, capacity: int) -> list[list[int]]:

@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import small_batches
+
 # Counts of a text that UDF ``_counts`` returns.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_upper", "n_letters", "n_bangs", "n_distinct", "n_stutter")
@@ -90,7 +92,7 @@ def _counts(texts: pa.Array) -> pa.Array:
 
 def with_statistics(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """Add struct ``name`` with the counts of each text."""
-    return docs.withColumn(name, F.arrow_udf(_counts, COUNT_TYPE)(text))
+    return small_batches(docs).withColumn(name, F.arrow_udf(_counts, COUNT_TYPE)(text))
 
 
 def ratios(stats: str) -> list[Column]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventloom.llm import (
     bpe, embedding_lsh, interleave, ngram_join, packing, pii, preferences, quality_rules, token_files, url_rules,
 )
-from eventloom.llm.common import stored, table
+from eventloom.llm.common import small_batches, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,7 +80,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_backtracking_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id", bpe.digests("text", WORD_BPE).alias("d")).select("doc_id", "d.*")
+    return small_batches(docs).select("doc_id", bpe.digests("text", WORD_BPE).alias("d")).select("doc_id", "d.*")
 
 
 @query("op8_best_fit_packing")

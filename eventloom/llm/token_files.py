@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import shuffle_partitions, stored
+from eventloom.llm.common import shuffle_partitions, small_batches, stored
 from eventloom.llm.mph import PerfectHash, fingerprints, mixed
 from eventloom.llm.tokens import encoder, in_slices
 from eventloom.session import work_dir
@@ -73,7 +73,7 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int, key: str = "doc_id",
             yield _records([last])
 
     order = [F.col("k").asc_nulls_first(), F.col("h")]
-    laid = (docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    laid = (small_batches(docs).select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
             .repartitionByRange(shards or shuffle_partitions(spark), *order).sortWithinPartitions(*order))
     laid.select("k", "t").mapInArrow(encode, "value binary").select(
         F.col("value").cast("string")).write.option("compression", "none").text(folder)
