@@ -32,6 +32,11 @@ WORDS_CACHED = 250_000
 _word_hash: dict[bytes, int] = {}
 
 
+def forget_words() -> None:
+    """Free the cache at the end of a task; the worker may go on to other work."""
+    _word_hash.clear()
+
+
 def bands_for(threshold: float, recall: float, rows: int) -> int:
     """Bands that find a pair of the threshold's similarity with this probability."""
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
@@ -92,7 +97,7 @@ def sketches(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: int
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "digest", "keys"])
-        _word_hash.clear()
+        forget_words()
 
     return small_batches(docs).select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, "doc_id bigint, digest binary, keys array<bigint>")
@@ -135,7 +140,7 @@ def _sets(docs: DataFrame, key: str, text: str, n: int):
             for batch in batches:
                 data = [grams(t, n).tobytes() for t in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["node", "data"])
-            _word_hash.clear()
+            forget_words()
 
         own = docs.select(F.col(key).cast("bigint").alias("node"), F.col(text).alias("text"))
         return own.join(links.small(nodes), "node").select("node", "text").mapInArrow(run, "node bigint, data binary")
