@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import free_names, ranked, stored
+from eventloom.llm.common import free_names, ranked, shuffle_partitions, stored
 
 ROWS_PER_BUCKET = 50_000
 
@@ -31,7 +31,7 @@ def interleave(rows: DataFrame, *, key: str = "doc_id", source: str = "source",
     """
     rows = rows.drop("shard", "slot")
     total = rows.count()
-    buckets = max(1, -(-total // rows_per_bucket))
+    buckets = max(shuffle_partitions(rows.sparkSession), -(-total // rows_per_bucket))
     stratum, h, bucket, rank, n, u, at, place, one = free_names(
         rows, "stratum_", "hash_", "bucket_", "rank_", "n_", "u_", "at_", "place_", "one_")
     keyed = (rows.withColumn(stratum, F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n")))
