@@ -66,10 +66,14 @@ def uv_text(start_ms: Column, end_ms: Column, uv: Column) -> Column:
 
 
 def integer_average(value_sql: str) -> Column:
-    """Average of an integer column, cut to an integer."""
-    return F.expr(f"sum({value_sql}) div count({value_sql})")
+    """Average of an integer column, cut to an integer.
+
+    Sums are decimals: epoch milliseconds of a busy key do not fit a BIGINT.
+    """
+    return F.expr(f"sum(cast({value_sql} AS DECIMAL(20, 0))) div count({value_sql})")
 
 
 def weighted_average(value_sql: str, weight_sql: str) -> Column:
     """Integer weighted average; NULL when the weights sum to 0."""
-    return F.expr(f"sum(({value_sql}) * ({weight_sql})) div nullif(sum({weight_sql}), 0)")
+    value, weight = (f"cast({x} AS DECIMAL(20, 0))" for x in (value_sql, weight_sql))
+    return F.expr(f"sum({value} * {weight}) div nullif(sum({weight}), 0)")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
@@ -38,7 +39,7 @@ def parse_lines(df: DataFrame, text: str, delimiter: str, names: tuple[str, str,
     Adds ``ok``; a line without a readable third field keeps what could be read and has
     ``ok = false``, so the caller can branch good and bad rows without a second parse.
     """
-    parts = F.split(F.col(text), delimiter)
+    parts = F.split(F.col(text), re.escape(delimiter))
     field = [F.trim(F.get(parts, i)) for i in range(3)]
     number = field[2].try_cast("bigint")
     return df.withColumns({names[0]: field[0], names[1]: field[1], names[2]: number,

@@ -25,11 +25,11 @@ def sink_text(spark, sf):
     return spark.read.text(f"{folder}/out").withColumnRenamed("value", "line")
 
 
-@query("sink_csv", "SELECT user_id AS url, url AS user_name FROM clicks WHERE user_id = 7")
+@query("sink_csv", "SELECT user_id AS url, url AS user_name FROM clicks")
 def sink_csv(spark, sf):
     """A positional insert of (user_id, url) into a table declared (url, user_name)."""
     folder = work_dir(spark, "csv")
-    writers.write_csv(clicks(spark, sf).where("user_id = 7"), folder, "user_id", "url")
+    writers.write_csv(clicks(spark, sf), folder, "user_id", "url")
     return spark.read.schema("url bigint, user_name string").csv(folder)
 
 

@@ -170,11 +170,11 @@ def comap(spark, sf):
 
 @query("union_streams", """
 SELECT seq, user_id, ts_ms FROM clicks WHERE url = 'click'
-UNION ALL SELECT seq, user_id, ts_ms FROM clicks WHERE url = 'view'""")
+UNION ALL SELECT seq, user_id, ts_ms FROM clicks WHERE url <> 'click'""")
 def union_streams(spark, sf):
     c = clicks(spark, sf)
     cols = ["seq", "user_id", "ts_ms"]
-    return c.where("url = 'click'").select(*cols).unionByName(c.where("url = 'view'").select(*cols))
+    return c.where("url = 'click'").select(*cols).unionByName(c.where("url <> 'click'").select(*cols))
 
 
 _PARTS_SQL = """parts AS (

@@ -55,7 +55,7 @@ def stream_split_tag(spark, sf):
 def stream_union(spark, sf):
     def job(s):
         cols = ["seq", "user_id", "ts_ms"]
-        return s.where("url = 'click'").select(*cols).unionByName(s.where("url = 'view'").select(*cols))
+        return s.where("url = 'click'").select(*cols).unionByName(s.where("url <> 'click'").select(*cols))
     return replay(spark, job, events_path(sf))
 
 
@@ -172,7 +172,7 @@ def stream_reconcile(spark, sf):
 @stream_query("stream_avg_every_5", same("avg_every_5"))
 def stream_avg_every_5(spark, sf):
     return replay(spark, lambda s: jobs.stateful(s.select("seq", "user_id", "ts_ms"), "user_id", processors.EveryNth(5)),
-                  events_path(sf))
+                  events_path(sf), order="event_id")
 
 
 @stream_query("stream_buffered_batches", same("buffered_batches"))
@@ -180,19 +180,19 @@ def stream_buffered_batches(spark, sf):
     def job(s):
         sharded = s.select("seq", "url", (F.col("user_id") % 4).alias("shard"))
         return jobs.stateful(sharded, "shard", processors.BufferedBatches(10))
-    return replay(spark, job, events_path(sf))
+    return replay(spark, job, events_path(sf), order="event_id")
 
 
 @stream_query("stream_count_window", same("count_window"))
 def stream_count_window(spark, sf):
     return replay(spark, lambda s: jobs.stateful(s.select("seq", "user_id", "value"), "user_id",
-                                                 processors.CountWindow(10, 2)), events_path(sf))
+                                                 processors.CountWindow(10, 2)), events_path(sf), order="event_id")
 
 
 @stream_query("stream_count_changelog", same("count_changelog"))
 def stream_count_changelog(spark, sf):
     return replay(spark, lambda s: jobs.stateful(s.select("seq", "user_id"), "user_id", processors.CountChangelog()),
-                  events_path(sf))
+                  events_path(sf), order="event_id")
 
 
 @stream_query("stream_broadcast_rules", same("broadcast_rules"))
@@ -203,7 +203,7 @@ def stream_broadcast_rules(spark, sf):
         rules = rule_table(s.sparkSession).drop("rule_no")
         return (jobs.stateful(actions, "user_id", processors.PreviousAction())
                 .join(F.broadcast(rules), ["action1", "action2"]))
-    return replay(spark, job, events_path(sf))
+    return replay(spark, job, events_path(sf), order="event_id")
 
 
 @stream_query("stream_state_machine", same("state_machine"))
@@ -211,13 +211,13 @@ def stream_state_machine(spark, sf):
     def job(s):
         kinds = s.select("seq", "user_id", "ts_ms", login_kind().alias("kind"))
         return jobs.stateful(kinds, "user_id", processors.RunMachine(patterns.THREE_FAILURES))
-    return replay(spark, job, events_path(sf))
+    return replay(spark, job, events_path(sf), order="event_id")
 
 
 @stream_query("stream_state_profile", same("state_profile"))
 def stream_state_profile(spark, sf):
     out = replay(spark, lambda s: jobs.stateful(s.select("seq", "user_id", "ts_ms", "url"), "user_id",
-                                                processors.StateProfile()), events_path(sf))
+                                                processors.StateProfile()), events_path(sf), order="event_id")
     newest = F.max_by(F.struct(*out.columns), "list_size").alias("r")
     return out.groupBy("user_id").agg(newest).select("r.*")
 

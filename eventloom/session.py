@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -63,15 +64,19 @@ def _local_dir() -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only where the session names none (local tests) does it fall back to a local one.
+    Only where the session names none and runs in one process does it fall back to a local one;
+    on a cluster each executor would write to its own disk.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = _local_dir()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 128 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 def size_shuffles(spark: SparkSession, source: DataFrame) -> None:
@@ -83,6 +88,6 @@ def size_shuffles(spark: SparkSession, source: DataFrame) -> None:
     size = int(str(source._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or least)
-    wanted = min(size // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    wanted = size // BYTES_PER_PARTITION
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))

@@ -52,7 +52,7 @@ def jdbc_append(df: DataFrame, url: str, table: str, checkpoint: str, *, batch_s
     The insert is at least once: the table should have a key, or ``batch_id`` as a column.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.coalesce(connections).write.mode("append").format("jdbc")
+        (batch.repartition(connections).write.mode("append").format("jdbc")
          .options(url=url, dbtable=table, batchsize=batch_size, **properties).save())
 
     return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

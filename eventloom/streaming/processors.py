@@ -22,6 +22,11 @@ from eventloom.operators.patterns import Machine
 Rows = Iterator[pd.DataFrame]
 
 
+def _cut(total: int, n: int) -> int:
+    """Integer quotient cut towards zero, as SQL has it."""
+    return total // n if total >= 0 else -(-total // n)
+
+
 def frame(columns: list[str], rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=columns)
 
@@ -124,7 +129,7 @@ class CountWindow(ArrivalProcessor):
         tops = values.rolling(self.size, min_periods=1).max().to_numpy()[len(held):]
         row_no = seen + 1 + np.arange(len(pdf))
         self.seen.update((int(row_no[-1]),))
-        self.recent.put([(float(v),) for v in values.iloc[1 - self.size:]])
+        self.recent.put([(float(v),) for v in values.iloc[max(0, len(values) - self.size + 1):]])
         out = pd.DataFrame({"seq": pdf["seq"], "user_id": key[0], "row_no": row_no,
                             "cnt": np.minimum(row_no, self.size), "max_value": tops})
         return out[out["row_no"] % self.slide == 0]
@@ -308,22 +313,18 @@ class OverAverage(EventTimeProcessor):
         out = []
         for i, row in enumerate(ready, start=old):
             span = times[max(0, i - self.preceding):i + 1]
-            out.append((row[1], key[0], sum(span) // len(span)))
+            out.append((row[1], key[0], _cut(sum(span), len(span))))
         if ready:
-            self.recent.put([(t,) for t in times[-self.preceding:]])
+            self.recent.put([(t,) for t in times[max(0, len(times) - self.preceding):]])
         return out, None
 
 
 class ConsecutiveMatch(EventTimeProcessor):
     """``times`` consecutive rows of one kind, optionally within a time bound."""
 
-    OUT = "user_id long, t1 long, t2 long, t3 long"
-
     def __init__(self, kind: str, times: int, within_ms: int | None = None) -> None:
         self.kind, self.times, self.within_ms = kind, times, within_ms
-
-    def columns(self) -> list[str]:
-        return ["user_id", *[f"t{i + 1}" for i in range(self.times)]]
+        self.OUT = ", ".join(["user_id long", *[f"t{i + 1} long" for i in range(times)]])
 
     def open(self) -> None:
         self.run = self.handle.getListState("run", "ts_ms long")

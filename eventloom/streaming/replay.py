@@ -50,16 +50,17 @@ ROWS_PER_SLICE = 20_000_000
 
 
 def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str, *,
-           files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, mode: str = "append",
+           files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, order: str = "ts", mode: str = "append",
            shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run ``job`` over the click stream at ``path`` and return what it emitted.
 
     A keyed processor sees all rows that a micro-batch has for a key at once, so the size of
     a micro-batch bounds its memory whatever the key skew.  With ``files_per_batch`` the
     stored files must be in time order and are taken that many at a time.  Otherwise a table
-    above ``rows_per_slice`` rows is first laid out in time slices of about that size, and
-    the stream goes on from its checkpoint slice by slice; a smaller one is one micro-batch.
-    No row is late in either case, whatever files it was stored in.
+    above ``rows_per_slice`` rows is first laid out in slices of about that size, and the
+    stream goes on from its checkpoint slice by slice; a smaller one is one micro-batch.
+    Slices follow ``order``: ``ts`` for event-time jobs, so that no row is late, and
+    ``event_id`` for arrival jobs, so that rows come in the order in which they arrived.
 
     With ``shape`` or another mode than append the result has ``batch_id``.
     """
@@ -81,7 +82,7 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
         result = start(path)
     else:
         stage, source = f"{folder}/stage", f"{folder}/source"
-        (stored.repartitionByRange(slices, "ts").withColumn("slice", F.spark_partition_id())
+        (stored.repartitionByRange(slices, order).withColumn("slice", F.spark_partition_id())
          .write.partitionBy("slice").parquet(stage))
         present = sorted(r[0] for r in spark.read.parquet(stage).select("slice").distinct().collect())
         for i in present:

@@ -10,7 +10,9 @@ from tests import oracle
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = entry.oracle_sql()
+# The queries of the training-data operators have tests of their own.
+QUERIES = {n: fn for n, fn in entry.queries().items() if n not in entry.LLM_QUERIES}
 BATCH = [n for n in QUERIES if not n.startswith("stream_") or n == "stream_as_table"]
 STREAMS = ["stream_window_topn", "stream_reconcile", "stream_periodic_pv", "stream_broadcast_rules"]
 
@@ -27,7 +29,7 @@ def test_same_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == set(SQL) - set(entry.LLM_ORACLES)
 
 
 def test_entry(spark):
