@@ -49,11 +49,12 @@ def match_times(df: DataFrame, keys: Sequence[str], condition: Column, times: in
 
 
 def match_followed_by(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_ms: int, *,
-                      order: Sequence[str] = ORDER, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+                      ended: bool = False, order: Sequence[str] = ORDER, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """For every ``first`` row, the next ``second`` row of its key, other rows in between allowed.
 
     ``status`` is ``matched`` if it comes less than ``within_ms`` later, ``timeout`` if the
-    data reaches the deadline without it, ``pending`` if the data ends before.
+    data reaches the deadline without it, ``pending`` if the data ends before.  With ``ended``
+    the end of the data ends every wait: what was pending is a ``timeout``.
     """
     ms = order[0]
     newest = df.agg(F.max(ms)).scalar()
@@ -65,7 +66,8 @@ def match_followed_by(df: DataFrame, keys: Sequence[str], first: Column, second:
     second_ms = F.col("_next")[ms]
     matched = second_ms - F.col(ms) < within_ms
     status = (F.when(matched, "matched")
-              .when(F.col("_newest") >= F.col(ms) + within_ms, "timeout").otherwise("pending"))
+              .when(F.col("_newest") >= F.col(ms) + within_ms, "timeout")
+              .otherwise("timeout" if ended else "pending"))
     return (
         ahead.where("_first").withColumn("_newest", newest)
         .select(*keys, F.col(ms).alias("first_ms"), F.when(matched, second_ms).alias("second_ms"),

@@ -1,7 +1,7 @@
 """Streaming forms of the operators, run to the end of the stored events.
 
-A stream emits a window only when the watermark has passed its end.  The SQL side
-therefore keeps the windows that end by the newest event.
+The stored events are finite, so a closing row lifts the watermark past every window, session,
+timer and wait, and each stream is held to the whole SQL of its batch form.
 """
 
 from __future__ import annotations
@@ -13,14 +13,10 @@ from eventloom.plans.catalog import CLICKS_SQL, DAY, HOUR, ORACLES, query
 from eventloom.plans.pairs import login_kind, payment_logs, rule_table
 from eventloom.session import stream_session, work_dir
 from eventloom.streaming import jobs, processors
-from eventloom.streaming.replay import append_to_table, events_path, finish, replay
+from eventloom.streaming.replay import CLOSING_AFTER, append_to_table, events_path, finish, replay
 
-NEWEST = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
-
-
-def closed(batch_query: str, condition: str = f"window_end <= {NEWEST}") -> str:
-    """The SQL of a batch query, kept to what the stream has emitted at its end."""
-    return f"SELECT * FROM ({ORACLES[batch_query]}) WHERE {condition}"
+# A kind that passes the filters of all jobs below which close something at the end.
+END = "click"
 
 
 def same(batch_query: str) -> str:
@@ -59,40 +55,40 @@ def stream_union(spark, sf):
     return replay(spark, job, events_path(sf))
 
 
-@stream_query("stream_tumble_count", closed("tumble_count"))
+@stream_query("stream_tumble_count", same("tumble_count"))
 def stream_tumble_count(spark, sf):
-    return replay(spark, lambda s: jobs.tumbling_counts(s, "user_id", DAY), events_path(sf))
+    return replay(spark, lambda s: jobs.tumbling_counts(s, "user_id", DAY), events_path(sf), closing=END)
 
 
-@stream_query("stream_slide_count", closed("slide_count"))
+@stream_query("stream_slide_count", same("slide_count"))
 def stream_slide_count(spark, sf):
-    return replay(spark, lambda s: jobs.sliding_counts(s, "url", 2 * HOUR, HOUR), events_path(sf))
+    return replay(spark, lambda s: jobs.sliding_counts(s, "url", 2 * HOUR, HOUR), events_path(sf), closing=END)
 
 
-@stream_query("stream_session_count", closed("session_count"))
+@stream_query("stream_session_count", same("session_count"))
 def stream_session_count(spark, sf):
-    return replay(spark, lambda s: jobs.session_counts(s, "user_id", 8 * HOUR), events_path(sf))
+    return replay(spark, lambda s: jobs.session_counts(s, "user_id", 8 * HOUR), events_path(sf), closing=END)
 
 
-@stream_query("stream_cumulate", closed("tvf_cumulate", f"window_start + {DAY} <= {NEWEST}"))
+@stream_query("stream_cumulate", same("tvf_cumulate"))
 def stream_cumulate(spark, sf):
-    return replay(spark, lambda s: jobs.cumulating_counts(s, "user_id", DAY, 6 * HOUR), events_path(sf))
+    return replay(spark, lambda s: jobs.cumulating_counts(s, "user_id", DAY, 6 * HOUR), events_path(sf), closing=END)
 
 
-@stream_query("stream_uv", closed("uv_tumbling"))
+@stream_query("stream_uv", same("uv_tumbling"))
 def stream_uv(spark, sf):
-    return replay(spark, lambda s: jobs.unique_visitors(s, HOUR), events_path(sf))
+    return replay(spark, lambda s: jobs.unique_visitors(s, HOUR), events_path(sf), closing=END)
 
 
-@stream_query("stream_window_topn", closed("window_topn"))
+@stream_query("stream_window_topn", same("window_topn"))
 def stream_window_topn(spark, sf):
-    return replay(spark, lambda s: jobs.tumbling_counts(s, "user_id", DAY), events_path(sf),
+    return replay(spark, lambda s: jobs.tumbling_counts(s, "user_id", DAY), events_path(sf), closing=END,
                   shape=jobs.rank_closed_windows(2, "user_id")).drop("batch_id")
 
 
-@stream_query("stream_topn_url_sliding", closed("topn_url_sliding"))
+@stream_query("stream_topn_url_sliding", same("topn_url_sliding"))
 def stream_topn_url_sliding(spark, sf):
-    return replay(spark, lambda s: jobs.sliding_counts(s, "url", 2 * HOUR, HOUR), events_path(sf),
+    return replay(spark, lambda s: jobs.sliding_counts(s, "url", 2 * HOUR, HOUR), events_path(sf), closing=END,
                   shape=jobs.rank_closed_windows(2, "url")).drop("batch_id")
 
 
@@ -137,23 +133,13 @@ def stream_history_join(spark, sf):
     return replay(spark, job, events_path(sf))
 
 
-@stream_query("stream_cogroup", closed("window_cogroup"))
+@stream_query("stream_cogroup", same("window_cogroup"))
 def stream_cogroup(spark, sf):
     return replay(spark, lambda s: jobs.window_cogroup(s.where("url = 'click'"), s.where("url = 'purchase'"), "user_id", DAY),
-                  events_path(sf))
-
+                  events_path(sf), closing=END)
 
-# The joined stream's watermark is the lower of both logs; a row comes out unmatched once
-# its wait is over by that watermark.
-_RECONCILED_SQL = f"""
-WITH r AS ({ORACLES["reconcile"]}),
-w AS (SELECT least((SELECT max(epoch_ms(o_orderdate)) FROM orders),
-                   (SELECT max(s) FROM (SELECT epoch_ms(min(l_shipdate)) AS s FROM lineitem GROUP BY l_orderkey))) AS m)
-SELECT r.* FROM r, w WHERE status = 'matched' OR (status = 'third_missing' AND app_ms + {90 * DAY} < m)
-  OR (status = 'app_missing' AND third_ms + {30 * DAY} < m)"""
 
-
-@stream_query("stream_reconcile", _RECONCILED_SQL)
+@stream_query("stream_reconcile", same("reconcile"))
 def stream_reconcile(spark, sf):
     app, third = payment_logs(spark, sf)
     folder = work_dir(spark, "reconcile")
@@ -164,6 +150,15 @@ def stream_reconcile(spark, sf):
     right = session.readStream.schema("order_id long, right_ts timestamp").parquet(f"{folder}/third")
     result = jobs.reconcile(left, right, "order_id", app_wait_ms=90 * DAY, third_wait_ms=30 * DAY)
     finish(append_to_table(result, f"{folder}/out", f"{folder}/checkpoint"))
+    # The end of both logs: orders that are in neither, whose own wait never ends.
+    ends = [spark.read.parquet(f"{folder}/{log}").agg(F.max(ts)).first()[0]
+            for log, ts in (("app", "left_ts"), ("third", "right_ts"))]
+    newest = max((t for t in ends if t is not None), default=None)
+    if newest is not None:
+        for log, order_id, ts in (("app", -1, "left_ts"), ("third", -2, "right_ts")):
+            (spark.createDataFrame([(order_id, newest + CLOSING_AFTER)], f"order_id long, {ts} timestamp")
+             .write.mode("append").parquet(f"{folder}/{log}"))
+        finish(append_to_table(result, f"{folder}/out", f"{folder}/checkpoint"))
     return spark.read.schema(result.schema).parquet(f"{folder}/out")
 
 
@@ -233,7 +228,8 @@ def stream_over_avg(spark, sf):
 
 @stream_query("stream_event_timer", same("event_timer"))
 def stream_event_timer(spark, sf):
-    return replay(spark, lambda s: jobs.stateful(_timed(s), "user_id", processors.EventTimer(HOUR), delay_ms=0), events_path(sf))
+    return replay(spark, lambda s: jobs.stateful(_timed(s), "user_id", processors.EventTimer(HOUR), delay_ms=0),
+                  events_path(sf), closing=END)
 
 
 @stream_query("stream_periodic_pv", same("periodic_pv"))
@@ -241,10 +237,10 @@ def stream_periodic_pv(spark, sf):
     return replay(spark, lambda s: jobs.stateful(_timed(s), "user_id", processors.PeriodicCount(DAY), delay_ms=0), events_path(sf))
 
 
-@stream_query("stream_manual_window", closed("manual_window", f"window_end - 1 <= {NEWEST}"))
+@stream_query("stream_manual_window", same("manual_window"))
 def stream_manual_window(spark, sf):
     return replay(spark, lambda s: jobs.stateful(s.select("url", "ts", "ts_ms"), "url", processors.TumblingByHand(HOUR),
-                                                 delay_ms=0), events_path(sf))
+                                                 delay_ms=0), events_path(sf), closing=END)
 
 
 @stream_query("stream_cep_next_within", same("cep_next_within"))
@@ -259,9 +255,9 @@ def stream_cep_times_k(spark, sf):
                                                  delay_ms=0), events_path(sf))
 
 
-@stream_query("stream_cep_followed_by", closed("cep_followed_by", "status <> 'pending'"))
+@stream_query("stream_cep_followed_by", same("cep_followed_by"))
 def stream_cep_followed_by(spark, sf):
     return replay(spark, lambda s: jobs.stateful(_timed(s), "user_id", processors.FollowedBy("signup", "purchase", 12 * HOUR),
-                                                 delay_ms=0), events_path(sf))
+                                                 delay_ms=0), events_path(sf), closing=END)
 
 

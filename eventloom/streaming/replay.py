@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,11 +48,13 @@ def batches_to_table(df: DataFrame, out: str, checkpoint: str, mode: str,
 
 
 ROWS_PER_SLICE = 20_000_000
+# How far the closing row lies past the newest event; longer than any window, gap or wait.
+CLOSING_AFTER = timedelta(days=3650)
 
 
 def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str, *,
            files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, order: str = "ts", mode: str = "append",
-           shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+           closing: str | None = None, shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run ``job`` over the click stream at ``path`` and return what it emitted.
 
     A keyed processor sees all rows that a micro-batch has for a key at once, so the size of
@@ -62,14 +65,25 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
     Slices follow ``order``: ``ts`` for event-time jobs, so that no row is late, and
     ``event_id`` for arrival jobs, so that rows come in the order in which they arrived.
 
+    The input is finite, so with ``closing`` a row of that kind, far past the newest event,
+    follows in a micro-batch of its own.  It lifts the watermark past every window, session,
+    timer and wait; its own window or wait never ends, so it leaves no row in the result.
+    The kind must pass the job's filters.  Not for jobs that emit rows as they come or tick
+    for ever: they have nothing that closes.
+
     With ``shape`` or another mode than append the result has ``batch_id``.
     """
     session = stream_session(spark)
     folder = work_dir(spark, "replay")
-    out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+    out, checkpoint, end = f"{folder}/out", f"{folder}/checkpoint", f"{folder}/closing"
+    if closing is not None:
+        spark.createDataFrame([], EVENTS_SCHEMA).write.parquet(end)
 
     def start(source: str) -> DataFrame:
-        result = job(click_stream(session, source, files_per_batch))
+        stream = click_stream(session, source, files_per_batch)
+        if closing is not None:
+            stream = stream.unionByName(click_stream(session, end))
+        result = job(stream)
         if mode == "append" and shape is None:
             finish(append_to_table(result, out, checkpoint))
         else:
@@ -77,9 +91,11 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
         return result
 
     stored = spark.read.schema(EVENTS_SCHEMA).parquet(path)
-    slices = 1 if files_per_batch else -(-stored.count() // rows_per_slice)
+    rows, newest = stored.agg(F.count("*"), F.max("ts")).first()
+    slices = 1 if files_per_batch else -(-rows // rows_per_slice)
+    source = path
     if slices <= 1:
-        result = start(path)
+        result = start(source)
     else:
         stage, source = f"{folder}/stage", f"{folder}/source"
         (stored.repartitionByRange(slices, order).withColumn("slice", F.spark_partition_id())
@@ -89,6 +105,10 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
             (spark.read.schema(EVENTS_SCHEMA).parquet(f"{stage}/slice={i}")
              .write.mode("append").parquet(source))
             result = start(source)
+    if closing is not None and newest is not None:
+        last = [(-1, newest + CLOSING_AFTER, -1, closing, None, None)]
+        spark.createDataFrame(last, EVENTS_SCHEMA).write.mode("append").parquet(end)
+        result = start(source)
     if mode == "append" and shape is None:
         return spark.read.schema(result.schema).parquet(out)
     return spark.read.parquet(out)

@@ -145,6 +145,35 @@ def test_time_slices_of_a_table(spark, stored, name):
     assert rows(out, *cols) == rows(batch(stored[1]), *cols)
 
 
+CLOSED_JOBS = {
+    "sessions": (lambda s: jobs.session_counts(s, "user_id", HOUR),
+                 lambda b: windows.sessions(b, ["user_id"], HOUR), ["user_id", "window_start", "window_end", "cnt"]),
+    "timers": (lambda s: jobs.stateful(s.select("seq", "user_id", "ts", "ts_ms", "url"), "user_id",
+                                       processors.EventTimer(HOUR), delay_ms=0),
+               lambda b: b.select("user_id", (F.col("ts_ms") + HOUR).alias("timer_ms")).distinct(), ["user_id", "timer_ms"]),
+    "followed": (lambda s: jobs.stateful(s.select("seq", "user_id", "ts", "ts_ms", "url"), "user_id",
+                                         processors.FollowedBy("click", "purchase", 200 * HOUR), delay_ms=0),
+                 lambda b: patterns.match_followed_by(b, ["user_id"], F.col("url") == "click", F.col("url") == "purchase",
+                                                      200 * HOUR, ended=True),
+                 ["user_id", "first_ms", "second_ms", "status"]),
+}
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+@pytest.mark.parametrize("name", CLOSED_JOBS)
+def test_end_of_input_closes(spark, stored, name, slices):
+    """The last sessions, timers and waits come out too, and the closing row itself does not."""
+    job, batch, cols = CLOSED_JOBS[name]
+    out = replay(spark, job, stored[0], rows_per_slice=900 // slices, closing="click")
+    assert rows(out, *cols) == rows(batch(stored[1]), *cols)
+
+
+def test_closing_an_empty_input(spark, tmp_path):
+    spark.createDataFrame([], EVENTS_SCHEMA).write.parquet(str(tmp_path / "none"))
+    out = replay(spark, lambda s: jobs.tumbling_counts(s, "user_id", HOUR), str(tmp_path / "none"), closing="click")
+    assert out.count() == 0
+
+
 def test_state_machine_and_rules(spark, stored):
     kind = F.when(F.col("url") == "error", "fail").otherwise(F.col("url"))
     out = run(spark, stored, lambda s: jobs.stateful(s.select("seq", "user_id", "ts_ms", kind.alias("kind")), "user_id",
