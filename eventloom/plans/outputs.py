@@ -1,14 +1,16 @@
-"""Sinks: write the whole result, read it back, compare."""
+"""Sinks and file sources: write the whole result, read it back, compare."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from eventloom.functions import scalar
+from eventloom.operators import elementwise
 from eventloom.plans.catalog import ORACLES, query
 from eventloom.session import stream_session, work_dir
 from eventloom.sinks import shaping, writers
-from eventloom.sources.tables import clicks
+from eventloom.sources import files
+from eventloom.sources.tables import clicks, table
 from eventloom.streaming.replay import click_stream, events_path, finish
 
 
@@ -33,6 +35,22 @@ def sink_csv(spark, sf):
     return spark.read.schema("url bigint, user_name string").csv(folder)
 
 
+@query("source_text", ORACLES["word_count"], "")
+def source_text(spark, sf):
+    """Word count over the lines of text files, into which all documents were written."""
+    folder = work_dir(spark, "lines")
+    writers.write_text(table(spark, sf, "documents").where("text IS NOT NULL").select(F.col("text").alias("value")), folder)
+    return elementwise.tokens(files.text_lines(spark, folder), "value").groupBy("word").agg(F.sum("one").alias("cnt"))
+
+
+@query("source_csv", "SELECT CAST(user_id AS VARCHAR) AS user_name, url, ts_ms AS ts FROM clicks")
+def source_csv(spark, sf):
+    """The click log as a CSV table of (user_name, url, ts), read by its declared fields."""
+    folder = work_dir(spark, "clicks")
+    writers.write_csv(clicks(spark, sf), folder, "user_id", "url", "ts_ms")
+    return files.click_csv(spark, folder)
+
+
 @query("sink_keyed_table", ORACLES["upsert_latest"], "")
 def sink_keyed_table(spark, sf):
     folder = work_dir(spark, "keyed")
