@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators import windows
-from eventloom.operators.ordered import ROWS_PER_CHUNK, neighbourhood
+from eventloom.operators.ordered import ROWS_PER_CHUNK, neighbourhood, running
 
 MAX_RULES = 100_000
 
@@ -54,7 +54,7 @@ def window_cogroup_rows(left: DataFrame, right: DataFrame, key: str, size_ms: in
     return members.join(sizes, [key, "window_start"])
 
 
-def _slot(ms: Column, width: int) -> Column:
+def time_slot(ms: Column, width: int) -> Column:
     return F.floor((ms - F.pmod(ms, F.lit(width))) / width).cast("bigint")
 
 
@@ -68,8 +68,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ms: str, rig
     width = max(upper_ms - lower_ms, 1)
     l_ms, r_ms = F.col(left_ms), F.col(right_ms)
     probes = left.withColumn("_slot", F.explode(
-        F.sequence(_slot(l_ms + lower_ms, width), _slot(l_ms + upper_ms, width))))
-    hits = right.withColumn("_slot", _slot(r_ms, width))
+        F.sequence(time_slot(l_ms + lower_ms, width), time_slot(l_ms + upper_ms, width))))
+    hits = right.withColumn("_slot", time_slot(r_ms, width))
     return (probes.join(hits, [key, "_slot"])
             .where(r_ms.between(l_ms + lower_ms, l_ms + upper_ms)).drop("_slot"))
 
@@ -89,8 +89,38 @@ def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, thir
                          "app_ms", "third_ms", status.alias("status"))
 
 
-def history_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Every pair with equal key over the whole history of both sides."""
+def history_join(df: DataFrame, key: str, is_left: Column, order: Sequence[str] = ("seq",),
+                 rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Join of the whole history of two sides, told per row instead of per pair.
+
+    A row meets all rows of the other side of its key that came before it: ``n_partners`` says
+    how many, ``newest_partner`` is the last column of ``order`` of the newest one (null if
+    there is none).  Each pair is counted once, at its later row, so the sum of ``n_partners``
+    is the number of pairs; the output has one row per input row, however hot a key is.
+    """
+    number, place = order[-1], F.struct(*order)
+    rows = df.withColumn("side", F.when(is_left, "left").otherwise("right"))
+    left, right = F.col("side") == "left", F.col("side") == "right"
+    seen = running(rows, [key], order, {
+        "_n_left": ("count", F.when(left, 1)), "_n_right": ("count", F.when(right, 1)),
+        "_left": ("max", F.when(left, place)), "_right": ("max", F.when(right, place))},
+        rows_per_chunk=rows_per_chunk)
+    return seen.select(
+        *rows.columns, F.when(left, F.col("_n_right")).otherwise(F.col("_n_left")).alias("n_partners"),
+        F.when(left, F.col("_right")).otherwise(F.col("_left"))[number].alias("newest_partner"))
+
+
+def history_pairs(left: DataFrame, right: DataFrame, key: str, most_pairs: int) -> DataFrame:
+    """The pairs themselves, which grow with the square of a key: only up to ``most_pairs``.
+
+    The pairs are counted first, from one count per key and side; above the bound this fails.
+    """
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(key).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias(name))
+
+    pairs = sizes(left, "_l").join(sizes(right, "_r"), key).agg(F.sum(F.expr("_l * _r"))).first()[0] or 0
+    if pairs > most_pairs:
+        raise ValueError(f"{pairs} pairs, more than the {most_pairs} that were allowed")
     return left.join(right, key)
 
 

@@ -5,6 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.session import BYTES_PER_PARTITION, input_bytes
+
+
+def partitions_for(df: DataFrame) -> int:
+    """As many partitions as a shuffle has at least, and one per 128 MB of the input."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-input_bytes(df) // BYTES_PER_PARTITION))
+
+
+def per_partition(df: DataFrame, **measures: Column) -> DataFrame:
+    """One row for each partition that holds rows: its number, its size and ``measures``."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
+        F.count(F.lit(1)).alias("n"), *[m.alias(name) for name, m in measures.items()])
+
 
 def by_key(df: DataFrame, n: int, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)

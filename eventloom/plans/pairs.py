@@ -10,7 +10,8 @@ from eventloom.sources.tables import clicks, table, with_arrival
 
 
 def sides(spark, sf, left: str, right: str):
-    """Two streams of the click log, one per kind of event, with column names apart."""
+    """Two streams of the click log, with column names apart.  A join takes a pair of kinds of
+    event as its two inputs; the others belong to neither."""
     c = clicks(spark, sf)
     l = c.where(F.col("url") == left).select(
         "user_id", F.col("seq").alias("left_seq"), F.col("ts").alias("left_ts"), F.col("ts_ms").alias("left_ms"))
@@ -34,24 +35,25 @@ def window_join(spark, sf):
 
 @query("window_cogroup", f"""
 SELECT user_id, ts_ms // {DAY} * {DAY} AS window_start, ts_ms // {DAY} * {DAY} + {DAY} AS window_end,
-       count(*) FILTER (url = 'click') AS n_left, count(*) FILTER (url = 'purchase') AS n_right,
+       count(*) FILTER (url = 'click') AS n_left, count(*) FILTER (url <> 'click') AS n_right,
        min(ts_ms) FILTER (url = 'click') AS first_left, max(ts_ms) FILTER (url = 'click') AS last_left,
-       min(ts_ms) FILTER (url = 'purchase') AS first_right, max(ts_ms) FILTER (url = 'purchase') AS last_right
-FROM clicks WHERE url IN ('click', 'purchase') GROUP BY ALL""")
+       min(ts_ms) FILTER (url <> 'click') AS first_right, max(ts_ms) FILTER (url <> 'click') AS last_right
+FROM clicks GROUP BY ALL""")
 def window_cogroup(spark, sf):
+    """Clicks on one side, all other events on the other."""
     c = clicks(spark, sf)
-    return joins.window_cogroup(c.where("url = 'click'"), c.where("url = 'purchase'"), "user_id", DAY, "ts_ms")
+    return joins.window_cogroup(c.where("url = 'click'"), c.where("url <> 'click'"), "user_id", DAY, "ts_ms")
 
 
 @query("window_cogroup_rows", f"""
 , w AS (SELECT user_id, ts_ms // {DAY} * {DAY} AS window_start, ts_ms // {DAY} * {DAY} + {DAY} AS window_end,
                CASE url WHEN 'click' THEN 'left' ELSE 'right' END AS side, ts_ms
-        FROM clicks WHERE url IN ('click', 'purchase'))
+        FROM clicks)
 SELECT *, count(*) FILTER (side = 'left') OVER g AS n_left, count(*) FILTER (side = 'right') OVER g AS n_right
 FROM w WINDOW g AS (PARTITION BY user_id, window_start)""")
 def window_cogroup_rows(spark, sf):
     c = clicks(spark, sf)
-    return joins.window_cogroup_rows(c.where("url = 'click'"), c.where("url = 'purchase'"), "user_id", DAY, "ts_ms")
+    return joins.window_cogroup_rows(c.where("url = 'click'"), c.where("url <> 'click'"), "user_id", DAY, "ts_ms")
 
 
 @query("interval_join", f"""
@@ -83,10 +85,15 @@ def reconcile(spark, sf):
     return joins.reconcile(app, third, "order_id", app_wait_ms=90 * DAY, third_wait_ms=30 * DAY)
 
 
-@query("history_join", "SELECT l.user_id, left_seq, right_seq FROM l JOIN r ON l.user_id = r.user_id", _SIDES_SQL)
+@query("history_join", """
+SELECT user_id, seq, CASE WHEN url = 'click' THEN 'left' ELSE 'right' END AS side,
+       CASE WHEN url = 'click' THEN count(*) FILTER (url <> 'click') OVER w ELSE count(*) FILTER (url = 'click') OVER w END AS n_partners,
+       CASE WHEN url = 'click' THEN max(seq) FILTER (url <> 'click') OVER w ELSE max(seq) FILTER (url = 'click') OVER w END AS newest_partner
+FROM clicks WINDOW w AS (PARTITION BY user_id ORDER BY seq)""")
 def history_join(spark, sf):
-    left, right = sides(spark, sf, "click", "purchase")
-    return joins.history_join(left, right, "user_id").select("user_id", "left_seq", "right_seq")
+    """Clicks against all other events of the user, over the whole history."""
+    return (joins.history_join(clicks(spark, sf).select("user_id", "seq", "url"), "user_id", F.col("url") == "click")
+            .select("user_id", "seq", "side", "n_partners", "newest_partner"))
 
 
 RULES = [(1, "click", "purchase"), (2, "signup", "error")]

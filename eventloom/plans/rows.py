@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventloom.functions import scalar
@@ -210,33 +211,73 @@ def weighted_avg(spark, sf):
 
 
 # ---- partitioning ----------------------------------------------------------------------
+# The number of partitions follows the input; the results say what became of the rows.
 
 @query("key_partition", "SELECT user_id, count(*) AS cnt, CAST(1 AS BIGINT) AS n_partitions FROM clicks GROUP BY user_id")
 def key_partition(spark, sf):
     """Hash partitioning by key, with the number of partitions that hold each key."""
-    placed = partitioning.by_key(clicks(spark, sf).select("user_id"), 16, "user_id")
+    users = clicks(spark, sf).select("user_id")
+    placed = partitioning.by_key(users, partitioning.partitions_for(users), "user_id")
     per_task = placed.groupBy("user_id", F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
     return per_task.groupBy("user_id").agg(F.sum("n").alias("cnt"), F.count(F.lit(1)).alias("n_partitions"))
 
 
-@query("shuffle_random", "SELECT seq, user_id FROM clicks")
+_SPREAD_SQL = """
+SELECT count(*) AS n_rows, CAST(sum(seq) AS BIGINT) AS sum_seq, true AS even FROM clicks"""
+
+
+def _totals(placed, even, **more):
+    return partitioning.per_partition(placed, s=F.sum("seq"), **more).agg(
+        F.sum("n").alias("n_rows"), F.sum("s").alias("sum_seq"), even.alias("even"))
+
+
+@query("shuffle_random", _SPREAD_SQL)
 def shuffle_random(spark, sf):
-    return partitioning.scattered(clicks(spark, sf).select("seq", "user_id"), 16, "seq")
+    """All rows arrive, and no partition is six standard deviations above the mean."""
+    c = clicks(spark, sf).select("seq")
+    n = partitioning.partitions_for(c)
+    mean = F.sum("n") / n
+    return _totals(partitioning.scattered(c, n, "seq"), F.max("n") <= mean + 6 * F.sqrt(mean) + 1)
 
 
-@query("round_robin", "SELECT seq, user_id FROM clicks")
+@query("round_robin", _SPREAD_SQL)
 def round_robin(spark, sf):
-    return partitioning.round_robin(clicks(spark, sf).select("seq", "user_id"), 16)
+    """All rows arrive, and sizes differ by at most one row per task of the input."""
+    c = clicks(spark, sf).select("seq", F.spark_partition_id().alias("task"))
+    n = partitioning.partitions_for(c)
+    smallest = F.when(F.count(F.lit(1)) == n, F.min("n")).otherwise(0)
+    return _totals(partitioning.round_robin(c, n), F.max("n") - smallest <= F.max("last_task") + 1,
+                   last_task=F.max("task"))
 
 
-@query("partition_preserves", "SELECT seq, user_id FROM clicks")
+@query("partition_preserves", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS parted, true AS fewer FROM clicks""")
 def partition_preserves(spark, sf):
-    return partitioning.rescaled(partitioning.round_robin(clicks(spark, sf).select("seq", "user_id"), 16), 4)
-
-
-@query("total_order", "SELECT seq, ts_ms FROM clicks")
+    """Merging neighbours keeps each partition whole: ``parted`` counts those that were not."""
+    c = clicks(spark, sf).select("seq")
+    n = partitioning.partitions_for(c)
+    before = partitioning.round_robin(c, n).withColumn("source", F.spark_partition_id())
+    merged = partitioning.rescaled(before, -(-n // 4))
+    moves = merged.groupBy("source", F.spark_partition_id().alias("target")).agg(F.count(F.lit(1)).alias("n"))
+    sources = moves.groupBy("source").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("targets"),
+                                          F.max("target").alias("target"))
+    return sources.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("targets") > 1).alias("parted"),
+                       (F.max("target") < -(-n // 4)).alias("fewer"))
+
+
+@query("total_order", """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS overlaps, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms FROM clicks""")
 def total_order(spark, sf):
-    return partitioning.total_order(clicks(spark, sf).select("seq", "ts_ms"), 16, "ts_ms", "seq")
+    """Every partition lies after the one before it: ``overlaps`` counts those that do not."""
+    c = clicks(spark, sf).select("seq", "ts_ms")
+    ordered = partitioning.total_order(c, partitioning.partitions_for(c), "ts_ms", "seq")
+    place = F.struct("ts_ms", "seq")
+    parts = partitioning.per_partition(ordered, lowest=F.min(place), highest=F.max(place))
+    # One row per partition of the cluster, so a single window is small.
+    earlier = F.lag("highest").over(Window.partitionBy(F.lit(0)).orderBy("partition"))
+    return parts.withColumn("earlier", earlier).agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("earlier") >= F.col("lowest")).alias("overlaps"),
+        F.min("lowest.ts_ms").alias("first_ms"), F.max("highest.ts_ms").alias("last_ms"))
 
 
 @query("replicate_n", "SELECT seq, CAST(unnest(range(4)) AS INTEGER) AS copy FROM clicks")
@@ -281,14 +322,17 @@ def append_filter(spark, sf):
     return shaping.positional(clicks(spark, sf).where("user_id = 7"), "url", "user_id")
 
 
+WRITERS = 32  # buffering writers side by side
+
+
 @query("buffered_batches", """
 SELECT shard, batch_no, count(*) AS n, min(seq) AS first_seq, max(seq) AS last_seq,
        string_agg(url, ',' ORDER BY seq) AS urls
-FROM (SELECT seq, url, user_id % 4 AS shard,
-             (row_number() OVER (PARTITION BY user_id % 4 ORDER BY seq) - 1) // 10 AS batch_no FROM clicks)
+FROM (SELECT seq, url, user_id % 32 AS shard,
+             (row_number() OVER (PARTITION BY user_id % 32 ORDER BY seq) - 1) // 10 AS batch_no FROM clicks)
 GROUP BY shard, batch_no HAVING count(*) = 10""")
 def buffered_batches(spark, sf):
-    sharded = clicks(spark, sf).withColumn("shard", F.col("user_id") % 4)
+    sharded = clicks(spark, sf).withColumn("shard", F.col("user_id") % WRITERS)
     out = aggregates.buffered_batches(sharded, "shard", 10, "url")
     return out.select("shard", "batch_no", "n", F.col("rows")[0]["seq"].alias("first_seq"),
                       F.element_at("rows", -1)["seq"].alias("last_seq"),

@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventloom.operators import elementwise, patterns, ranking
+from eventloom.operators import elementwise, joins, patterns, ranking
 from eventloom.plans.catalog import CLICKS_SQL, DAY, HOUR, ORACLES, query
 from eventloom.plans.pairs import login_kind, payment_logs, rule_table
+from eventloom.plans.rows import WRITERS
 from eventloom.session import stream_session, work_dir
 from eventloom.streaming import jobs, processors
 from eventloom.streaming.replay import CLOSING_AFTER, append_to_table, events_path, finish, replay
 
 # A kind that passes the filters of all jobs below which close something at the end.
 END = "click"
+# Parts of a key whose rows are counted apart.
+SALTS = 16
 
 
 def same(batch_query: str) -> str:
@@ -94,10 +97,21 @@ def stream_topn_url_sliding(spark, sf):
 
 @stream_query("stream_topn_users", same("topn_users"))
 def stream_topn_users(spark, sf):
-    """Top-N of an updating count: each micro-batch carries the whole result."""
-    out = replay(spark, lambda s: s.groupBy("user_id").agg(F.count("url").alias("cnt")), events_path(sf),
-                 mode="complete", shape=lambda b: ranking.top_n_overall(b, "cnt", "user_id", 2))
-    return out.where(F.col("batch_id") == out.agg(F.max("batch_id")).scalar()).drop("batch_id")
+    """Top-N of an updating count: each micro-batch writes the users that changed."""
+    out = replay(spark, lambda s: s.groupBy("user_id").agg(F.count("url").alias("cnt")), events_path(sf), mode="update")
+    newest = out.groupBy("user_id").agg(F.max_by("cnt", "batch_id").alias("cnt"))
+    return ranking.top_n_overall(newest, "cnt", "user_id", 2)
+
+
+@stream_query("stream_sql_group_window", same("tumble_count"))
+def stream_sql_group_window(spark, sf):
+    """SQL text over a streaming view with an event-time column and its watermark."""
+    def job(s):
+        return s.sparkSession.sql(f"""
+            SELECT unix_millis(w.start) AS window_start, unix_millis(w.end) AS window_end, user_id, cnt
+            FROM (SELECT window(ts, '{DAY} milliseconds') AS w, user_id, count(*) AS cnt FROM {{clicks}}
+                  GROUP BY window(ts, '{DAY} milliseconds'), user_id)""", clicks=jobs.watermarked(s))
+    return replay(spark, job, events_path(sf), closing=END)
 
 
 def stream_sides(s, left: str, right: str):
@@ -128,14 +142,14 @@ def stream_interval_join(spark, sf):
 @stream_query("stream_history_join", same("history_join"))
 def stream_history_join(spark, sf):
     def job(s):
-        l, r = stream_sides(s, "click", "purchase")
-        return jobs.history_join(l.drop("left_ts"), r.drop("right_ts"), "user_id").select("user_id", "left_seq", "right_seq")
-    return replay(spark, job, events_path(sf))
+        sides = s.select("seq", "user_id", F.when(F.col("url") == "click", "left").otherwise("right").alias("side"))
+        return jobs.stateful(sides, "user_id", processors.HistoryPartners())
+    return replay(spark, job, events_path(sf), order="event_id")
 
 
 @stream_query("stream_cogroup", same("window_cogroup"))
 def stream_cogroup(spark, sf):
-    return replay(spark, lambda s: jobs.window_cogroup(s.where("url = 'click'"), s.where("url = 'purchase'"), "user_id", DAY),
+    return replay(spark, lambda s: jobs.window_cogroup(s.where("url = 'click'"), s.where("url <> 'click'"), "user_id", DAY),
                   events_path(sf), closing=END)
 
 
@@ -173,7 +187,7 @@ def stream_avg_every_5(spark, sf):
 @stream_query("stream_buffered_batches", same("buffered_batches"))
 def stream_buffered_batches(spark, sf):
     def job(s):
-        sharded = s.select("seq", "url", (F.col("user_id") % 4).alias("shard"))
+        sharded = s.select("seq", "url", (F.col("user_id") % WRITERS).alias("shard"))
         return jobs.stateful(sharded, "shard", processors.BufferedBatches(10))
     return replay(spark, job, events_path(sf), order="event_id")
 
@@ -195,9 +209,8 @@ def stream_broadcast_rules(spark, sf):
     """Pairs from keyed state, then a join of the stream with the small static rule table."""
     def job(s):
         actions = s.select("seq", "user_id", F.col("url").alias("action"))
-        rules = rule_table(s.sparkSession).drop("rule_no")
-        return (jobs.stateful(actions, "user_id", processors.PreviousAction())
-                .join(F.broadcast(rules), ["action1", "action2"]))
+        rules = joins.checked_broadcast(rule_table(s.sparkSession).drop("rule_no"))
+        return jobs.stateful(actions, "user_id", processors.PreviousAction()).join(rules, ["action1", "action2"])
     return replay(spark, job, events_path(sf), order="event_id")
 
 
@@ -239,8 +252,13 @@ def stream_periodic_pv(spark, sf):
 
 @stream_query("stream_manual_window", same("manual_window"))
 def stream_manual_window(spark, sf):
-    return replay(spark, lambda s: jobs.stateful(s.select("url", "ts", "ts_ms"), "url", processors.TumblingByHand(HOUR),
-                                                 delay_ms=0), events_path(sf), closing=END)
+    """Few keys hold the whole log, so each is counted in salted parts that are added up."""
+    group = ["url", "window_start", "window_end"]
+
+    def job(s):
+        parts = s.select("url", F.pmod(F.xxhash64("seq"), F.lit(SALTS)).alias("salt"), "ts", "ts_ms")
+        return jobs.stateful(parts, ["url", "salt"], processors.TumblingByHand(HOUR), delay_ms=0)
+    return replay(spark, job, events_path(sf), closing=END, shape=jobs.sum_of_closed(*group)).drop("batch_id")
 
 
 @stream_query("stream_cep_next_within", same("cep_next_within"))

@@ -79,13 +79,18 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 128 * 1024 * 1024
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the stored size behind a frame."""
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+
+
 def size_shuffles(spark: SparkSession, source: DataFrame) -> None:
     """Start shuffles with one partition per 128 MB of the largest table read so far.
 
     AQE merges small partitions but cannot add any, so the start must fit the input; a
     fixed 200 would give partitions of hundreds of GB at 100 TB.
     """
-    size = int(str(source._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    size = input_bytes(source)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or least)
     wanted = size // BYTES_PER_PARTITION

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from eventloom.operators import aggregates, ranking, windows
+from eventloom.operators import aggregates, joins, ranking, windows
 
 
 def watermarked(stream: DataFrame, delay_ms: int = 0, ts: str = "ts") -> DataFrame:
     return stream.withWatermark(ts, windows.duration(delay_ms))
 
 
-def stateful(stream: DataFrame, key: str, processor: StatefulProcessor, *, delay_ms: int | None = None,
+def stateful(stream: DataFrame, key: str | list[str], processor: StatefulProcessor, *, delay_ms: int | None = None,
              time_mode: str | None = None) -> DataFrame:
     """Run a processor per key: event-time mode with ``delay_ms``, else as ``time_mode`` says."""
     if delay_ms is not None:
@@ -22,14 +22,25 @@ def stateful(stream: DataFrame, key: str, processor: StatefulProcessor, *, delay
         processor, outputStructType=processor.OUT, outputMode="Append", timeMode=time_mode or "None")
 
 
+def _panes(stream: DataFrame, key: str, pane_ms: int, delay_ms: int) -> DataFrame:
+    """Row counts per (pane, key), with ``pane_ts`` as event time for a second aggregate."""
+    counted = (watermarked(stream, delay_ms).groupBy(windows.tumbling(pane_ms), key)
+               .agg(F.count(F.lit(1)).alias("n")))
+    return counted.select(key, "n", F.window_time("window").alias("pane_ts"))
+
+
 def tumbling_counts(stream: DataFrame, key: str, size_ms: int, delay_ms: int = 0) -> DataFrame:
     grouped = watermarked(stream, delay_ms).groupBy(windows.tumbling(size_ms), key)
     return windows.window_bounds(grouped.agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def sliding_counts(stream: DataFrame, key: str, size_ms: int, slide_ms: int, delay_ms: int = 0) -> DataFrame:
-    grouped = watermarked(stream, delay_ms).groupBy(windows.sliding(size_ms, slide_ms), key)
-    return windows.window_bounds(grouped.agg(F.count(F.lit(1)).alias("cnt")))
+    """Each row is counted once, in its pane of one slide; the windows add up panes."""
+    if size_ms % slide_ms:
+        raise ValueError("the size must be a multiple of the slide")
+    panes = _panes(stream, key, slide_ms, delay_ms)
+    grouped = panes.groupBy(windows.sliding(size_ms, slide_ms, "pane_ts"), key)
+    return windows.window_bounds(grouped.agg(F.sum("n").alias("cnt")))
 
 
 def session_counts(stream: DataFrame, key: str, gap_ms: int, delay_ms: int = 0) -> DataFrame:
@@ -39,12 +50,17 @@ def session_counts(stream: DataFrame, key: str, gap_ms: int, delay_ms: int = 0)
 
 
 def cumulating_counts(stream: DataFrame, key: str, size_ms: int, step_ms: int, delay_ms: int = 0) -> DataFrame:
-    """All ends of an enclosing window come out together, when it closes."""
+    """All ends of an enclosing window come out together, when it closes.
+
+    Each row is counted once, in its pane of one step; only the counts go to several ends.
+    """
+    if size_ms % step_ms:
+        raise ValueError("the size must be a multiple of the step")
     assigned = (
-        watermarked(stream, delay_ms).withColumn("window", windows.tumbling(size_ms))
+        _panes(stream, key, step_ms, delay_ms).withColumn("window", windows.tumbling(size_ms, "pane_ts"))
         .withColumn("_end", F.explode(windows.cumulate_ends(
-            F.unix_millis(F.col("window.start")), F.col("ts_ms"), size_ms, step_ms))))
-    grouped = assigned.groupBy("window", "_end", key).agg(F.count(F.lit(1)).alias("cnt"))
+            F.unix_millis(F.col("window.start")), F.unix_millis("pane_ts"), size_ms, step_ms))))
+    grouped = assigned.groupBy("window", "_end", key).agg(F.sum("n").alias("cnt"))
     return (windows.window_bounds(grouped).drop("window_end").withColumnRenamed("_end", "window_end"))
 
 
@@ -74,15 +90,26 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lower_ms: int, up
                   delay_ms: int = 0, how: str = "inner") -> DataFrame:
     """Stream-stream join with ``right_ts`` in [left + lower, left + upper].
 
-    The range condition and both watermarks bound the join state.
+    The range condition and both watermarks bound the join state.  As in the batch form, an
+    inner join also has the time slot in its key: a right row lies in one slot, a left row
+    looks into at most two, and a hot key is spread over slots.  An outer join has the key
+    alone, since a copy without a partner would come out as a row of its own.
     """
     l = watermarked(left, delay_ms, "left_ts").withColumnRenamed(key, "_left_key")
     r = watermarked(right, delay_ms, "right_ts").withColumnRenamed(key, "_right_key")
-    cond = F.expr(f"""_left_key = _right_key
+    slots = "true"
+    if how == "inner":
+        width = max(upper_ms - lower_ms, 1)
+        ms = F.unix_millis("left_ts")
+        l = l.withColumn("_left_slot", F.explode(F.sequence(
+            joins.time_slot(ms + lower_ms, width), joins.time_slot(ms + upper_ms, width))))
+        r = r.withColumn("_right_slot", joins.time_slot(F.unix_millis("right_ts"), width))
+        slots = "_left_slot = _right_slot"
+    cond = F.expr(f"""_left_key = _right_key AND {slots}
         AND right_ts >= left_ts + INTERVAL {lower_ms} MILLISECONDS
         AND right_ts <= left_ts + INTERVAL {upper_ms} MILLISECONDS""")
     return (l.join(r, cond, how).withColumn(key, F.coalesce("_left_key", "_right_key"))
-            .drop("_left_key", "_right_key"))
+            .drop("_left_key", "_right_key", "_left_slot", "_right_slot"))
 
 
 def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, third_wait_ms: int,
@@ -98,9 +125,12 @@ def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, thir
                          F.unix_millis("right_ts").alias("third_ms"), status.alias("status"))
 
 
-def history_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Every pair with equal key; both sides are kept for good, as the operator asks."""
-    return left.join(right, key)
+def sum_of_closed(*group: str):
+    """Add up the partial counts of salted keys: all parts of a window close in the same
+    micro-batch, so its rows are all there are."""
+    def shape(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*group).agg(F.sum("cnt").alias("cnt"))
+    return shape
 
 
 def window_cogroup(left: DataFrame, right: DataFrame, key: str, size_ms: int, delay_ms: int = 0) -> DataFrame:

@@ -169,6 +169,28 @@ class PreviousAction(ArrivalProcessor):
         return out[out["action1"].notna()]
 
 
+class HistoryPartners(ArrivalProcessor):
+    """Join with the whole history of the other side: how many partners a row has so far, and
+    the newest one.  State is two counts and two numbers per key, not the rows."""
+
+    OUT = "user_id long, seq long, side string, n_partners long, newest_partner long"
+
+    def open(self) -> None:
+        self.seen = self.handle.getValueState("seen", "n_left long, n_right long, left long, right long")
+
+    def on_rows(self, key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        n_left, n_right, newest_left, newest_right = self.value_or(self.seen, (0, 0, -1, -1))
+        seq, left = pdf["seq"].to_numpy("int64"), (pdf["side"] == "left").to_numpy()
+        lefts, rights = n_left + np.cumsum(left), n_right + np.cumsum(~left)
+        last_left = np.maximum.accumulate(np.where(left, seq, newest_left))
+        last_right = np.maximum.accumulate(np.where(left, newest_right, seq))
+        self.seen.update((int(lefts[-1]), int(rights[-1]), int(last_left[-1]), int(last_right[-1])))
+        partners, newest = np.where(left, rights, lefts), np.where(left, last_right, last_left)
+        return pd.DataFrame({"user_id": key[0], "seq": seq, "side": pdf["side"], "n_partners": partners,
+                             "newest_partner": pd.array(newest, dtype="Int64")}).assign(
+            newest_partner=lambda d: d["newest_partner"].where(d["n_partners"] > 0))
+
+
 class RunMachine(ArrivalProcessor):
     """A table-driven state machine per key."""
 

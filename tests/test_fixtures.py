@@ -1,5 +1,6 @@
 """Operators on inputs whose results are known."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.functions import scalar
@@ -190,8 +191,20 @@ def test_reconcile(spark):
 def test_history_join(spark):
     a = spark.createDataFrame([("a", 1000), ("b", 2000), ("a", 3000)], "k string, l long")
     b = spark.createDataFrame([("a", 3000), ("b", 4000), ("a", 6000)], "k string, r long")
-    assert rows(joins.history_join(a, b, "k"), "k", "l", "r") == [
+    assert rows(joins.history_pairs(a, b, "k", most_pairs=5), "k", "l", "r") == [
         ("a", 1000, 3000), ("a", 1000, 6000), ("a", 3000, 3000), ("a", 3000, 6000), ("b", 2000, 4000)]
+    with pytest.raises(ValueError, match="5 pairs"):
+        joins.history_pairs(a, b, "k", most_pairs=4)
+
+
+def test_history_join_counts_each_pair_once(spark):
+    df = spark.createDataFrame([("a", 0, 1), ("a", 1, 0), ("a", 2, 1), ("a", 3, 0), ("b", 4, 1), ("c", 5, 0), ("c", 9, 0)],
+                               "k string, seq long, left long")
+    for bound in (2, 100):
+        out = joins.history_join(df, "k", F.col("left") == 1, rows_per_chunk=bound)
+        assert [(r.seq, r.side, r.n_partners, r.newest_partner) for r in out.orderBy("seq").collect()] == [
+            (0, "left", 0, None), (1, "right", 1, 0), (2, "left", 1, 1), (3, "right", 2, 2),
+            (4, "left", 0, None), (5, "right", 0, None), (9, "right", 0, None)]
 
 
 def test_rules(spark):
