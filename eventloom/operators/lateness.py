@@ -1,8 +1,8 @@
 """Watermarks and late rows, decided row by row over the arrival order.
 
-A stream moves its watermark once per micro-batch, so which rows it treats as late depends
-on the batch layout.  These operators give the layout-free answer.  ``arrival`` must be a
-(nearly) dense sequence number; ties keep ``seq`` order.
+The engine moves its watermark once per micro-batch, so which rows it treats as late depends
+on the batch layout.  These operators give the layout-free answer, and
+:mod:`eventloom.streaming.late` gives it for streams.  Ties in ``arrival`` keep ``seq`` order.
 """
 
 from __future__ import annotations
@@ -22,13 +22,16 @@ def watermark_trace(df: DataFrame, bound_ms: int, rows_per_chunk: int = ROWS_PER
 
 
 def classify(df: DataFrame, size_ms: int, bound_ms: int, lateness_ms: int,
-             rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+             rows_per_chunk: int = ROWS_PER_CHUNK, earlier_ms: int | None = None) -> DataFrame:
     """Tag rows of tumbling windows as ``on_time``, ``refire`` (the window already fired but
-    is kept for the allowed lateness) or ``late`` (goes to the side output)."""
+    is kept for the allowed lateness) or ``late`` (goes to the side output).
+
+    ``earlier_ms`` is the highest time among rows that arrived before those of ``df``.
+    """
     seen = running(df, [], ARRIVAL, {"_max": ("max", F.col("ts_ms"))}, inclusive=False,
                    rows_per_chunk=rows_per_chunk)
     start = F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(size_ms))
-    passed = F.col("_max") - bound_ms
+    passed = F.greatest("_max", F.lit(earlier_ms).cast("bigint")) - bound_ms
     tag = (F.when(F.col("window_end") + lateness_ms <= passed, "late")
            .when(F.col("window_end") <= passed, "refire").otherwise("on_time"))
     return (seen.withColumn("window_start", start)

@@ -60,13 +60,12 @@ def _oversized(df: DataFrame, group: Sequence[str], column: str, rows_per_chunk:
 
 
 def _written(small: DataFrame) -> DataFrame | None:
-    """The table, stored in the shared folder; None if it is empty."""
-    if small.count() == 0:
-        return None
+    """The table, stored in the shared folder and computed once; None if it is empty."""
     spark = small.sparkSession
     path = work_dir(spark, "cut")
     small.write.parquet(path)
-    return spark.read.schema(small.schema).parquet(path)
+    stored = spark.read.schema(small.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def _piece(column: str) -> Column:
@@ -80,8 +79,8 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     The order columns are integers.  A large key is cut evenly by the first one; a piece that
     is still too large, because the key is busier at some times than at others, is cut again
     over its own narrower range, and pieces of a single instant by the second order column.
-    Where the order columns are unique, no stretch is above the bound in the end.  Without keys the whole table is one sequence and the first order
-    column must be a dense sequence number.
+    Where the order columns are unique, no stretch is above the bound in the end.  Without keys the whole table is one sequence, cut in the
+    same way as a large key.
 
     The keys are counted before the plan is built (one pass over the key and order columns,
     aggregated map-side): without a large key the result is the plain window.  The cuts are
@@ -92,18 +91,19 @@ def chunk_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     if "_chunk" in df.columns:
         return df
-    if not keys:
-        return df.withColumns({"_chunk": F.expr(f"`{order[0]}` div {rows_per_chunk}"),
-                               "_cut": F.lit(True)})
     keys = list(keys)
-    large = _written(_oversized(df, keys, order[0], rows_per_chunk))
-    if large is None:
+    large = _oversized(df, keys, order[0], rows_per_chunk)
+    whole = None if keys else large.first()
+    large = _written(large) if keys else None
+    if large is None and whole is None:
         return df.withColumns({"_chunk": F.lit(0), "_cut": F.lit(False)})
-    on_key = _same_key(keys, "_h_")
-    helpers = ["_lo", "_width", *["_h_" + k for k in keys]]
-    rows = (df.join(F.broadcast(large), on_key, "left")
-            .withColumns({"_c0": _piece(order[0]), "_cut": F.col("_lo").isNotNull()})
-            .drop(*helpers))
+    if whole is not None:
+        bounds = {"_lo": F.lit(whole["_lo"]), "_width": F.lit(whole["_width"])}
+        rows = df.withColumns(bounds)
+    else:
+        rows = df.join(F.broadcast(large), _same_key(keys, "_h_"), "left")
+    rows = (rows.withColumns({"_c0": _piece(order[0]), "_cut": F.col("_lo").isNotNull()})
+            .drop("_lo", "_width", *["_h_" + k for k in keys]))
     pieces = ["_c0"]
     for column in order[:2]:
         # Each round at least halves the range of a piece, so this ends; a piece that is then

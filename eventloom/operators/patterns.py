@@ -48,6 +48,34 @@ def match_times(df: DataFrame, keys: Sequence[str], condition: Column, times: in
                              rows_per_chunk=rows_per_chunk)
 
 
+def match_sequence(df: DataFrame, keys: Sequence[str], steps: Sequence[Column], strict: Sequence[bool],
+                   within_ms: int, *, order: Sequence[str] = ORDER,
+                   rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Rows of a key that meet ``steps`` in turn; one match at most for each first row.
+
+    Between step i and i + 1 lie no other rows if ``strict[i]``, else any number, and the
+    nearest row that meets step i + 1 is taken.  The last row must come less than
+    ``within_ms`` after the first.  Times come out as ``t1 .. tk``.
+
+    Built from the end: each row learns the nearest row ahead that goes on, with its times.
+    All passes share one cut and one partitioning.
+    """
+    k, ms = len(steps), order[0]
+    marks = {f"_s{i}": F.coalesce(step, F.lit(False)) for i, step in enumerate(steps)}
+    rows = chunk_rows(df.withColumns(marks).select(*keys, *order, *marks), keys, order, rows_per_chunk)
+    rows = rows.withColumn("_times", F.when(F.col(f"_s{k - 1}"), F.array(ms)))
+    for i in range(k - 2, -1, -1):
+        going_on = F.struct(*order, "_times")
+        if not strict[i]:
+            going_on = F.when(F.col(f"_s{i + 1}"), going_on)
+        ahead = running(rows, keys, order, {"_ahead": ("min", going_on)}, inclusive=False, reverse=True)
+        rows = (ahead.withColumn("_times", F.when(F.col(f"_s{i}"), F.concat(F.array(ms), F.col("_ahead._times"))))
+                .drop("_ahead"))
+    times = [F.col("_times")[i].alias(f"t{i + 1}") for i in range(k)]
+    return (uncut(rows).where(F.col("_times").isNotNull() & (F.col("_times")[k - 1] - F.col("_times")[0] < within_ms))
+            .select(*keys, *times))
+
+
 def match_followed_by(df: DataFrame, keys: Sequence[str], first: Column, second: Column, within_ms: int, *,
                       ended: bool = False, order: Sequence[str] = ORDER, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """For every ``first`` row, the next ``second`` row of its key, other rows in between allowed.
@@ -89,10 +117,6 @@ class Machine:
     accept: str = "Matched"
     reset: str = "Terminal"
 
-    def __post_init__(self) -> None:
-        if len(self.states) > 16:
-            raise ValueError("a machine has at most 16 states")
-
     @property
     def events(self) -> list[str]:
         return sorted({event for moves in self.moves.values() for event in moves})
@@ -103,25 +127,21 @@ class Machine:
             return state, True
         return (self.initial if target == self.reset else target), False
 
-    def packed_move(self, event: str | None) -> int:
-        """The effect of one event on every state, four bits per state."""
-        packed = 0
-        for i, state in enumerate(self.states):
-            packed |= self.states.index(self.step(state, event)[0]) << (4 * i)
-        return packed - (1 << 64) if packed >> 63 else packed
+    def effect(self, event: str | None) -> Column:
+        """What one event does to every state: the number of the next state, by state number."""
+        return F.array(*[F.lit(self.states.index(self.step(state, event)[0])) for state in self.states])
 
 
 # An event maps states to states, and a run of events is the composition of such maps.
 # Composition is associative, so stretches of a key can be composed apart and then chained.
 
-def _unpack(packed: np.ndarray, n: int) -> np.ndarray:
-    shifts = np.arange(n, dtype=np.int64) * 4
-    return ((packed[:, None] >> shifts) & 15).astype(np.int64)
+def _rows_of_maps(column: pa.ListArray, n: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
 
 
-def _pack(maps: np.ndarray) -> np.ndarray:
-    shifts = np.arange(maps.shape[1], dtype=np.int64) * 4
-    return np.bitwise_or.reduce(maps << shifts, axis=1)
+def _column_of_maps(maps: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(maps) + 1, dtype=np.int32) * maps.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(maps.astype(np.int32).ravel()))
 
 
 def _compose_batch(maps: np.ndarray, opens: np.ndarray, carry: np.ndarray) -> np.ndarray:
@@ -141,14 +161,14 @@ def _compose_batch(maps: np.ndarray, opens: np.ndarray, carry: np.ndarray) -> np
 
 
 def _scan(n_states: int):
-    identity = np.arange(n_states, dtype=np.int64)
+    identity = np.arange(n_states, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = identity
         for batch in batches:
             if not batch.num_rows:
                 continue
-            maps = _unpack(batch.column("_map").to_numpy(zero_copy_only=False), n_states)
+            maps = _rows_of_maps(batch.column("_map"), n_states)
             opens = batch.column("_opens").to_numpy(zero_copy_only=False)
             through = _compose_batch(maps, opens, carry)
             before = np.vstack([carry[None, :], through[:-1]])
@@ -156,7 +176,7 @@ def _scan(n_states: int):
             carry = through[-1]
             names = [*batch.schema.names, "_before", "_through"]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(_pack(before)), pa.array(_pack(through))], names)
+                [*batch.columns, _column_of_maps(before), _column_of_maps(through)], names)
 
     return run
 
@@ -170,16 +190,16 @@ def _compose(df: DataFrame, run_keys: Sequence[str], order: Sequence[str], n_sta
     w = Window.partitionBy(*run_keys).orderBy(*order)
     flagged = df.withColumn("_opens", F.row_number().over(w) == 1)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flagged.schema.fields)
-    return flagged.mapInArrow(_scan(n_states), f"{fields}, _before bigint, _through bigint").drop("_opens")
+    return flagged.mapInArrow(_scan(n_states), f"{fields}, _before array<int>, _through array<int>").drop("_opens")
 
 
 def run_machine(df: DataFrame, keys: Sequence[str], event: str, machine: Machine, *,
                 order: Sequence[str] = ORDER, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Run a machine over each key; returns the rows that report a match, with their state."""
     keys, n = list(keys), len(machine.states)
-    move = F.lit(machine.packed_move(None)).cast("bigint")
+    move = machine.effect(None)
     for name in machine.events:
-        move = F.when(F.col(event) == name, F.lit(machine.packed_move(name)).cast("bigint")).otherwise(move)
+        move = F.when(F.col(event) == name, machine.effect(name)).otherwise(move)
     rows = chunk_rows(df.select(*keys, *order, event), keys, order, rows_per_chunk).withColumn("_map", move)
 
     within = _compose(rows, [*keys, "_chunk"], order, n)
@@ -194,10 +214,10 @@ def run_machine(df: DataFrame, keys: Sequence[str], event: str, machine: Machine
         same = same & F.col(k).eqNullSafe(F.col("_h_" + k))
 
     initial = machine.states.index(machine.initial)
-    start = F.coalesce(F.expr(f"shiftright(_start_map, {4 * initial}) & 15"), F.lit(initial).cast("bigint"))
+    start = F.coalesce(F.col("_start_map")[initial], F.lit(initial))
     placed = (within.join(F.broadcast(chained), same, "left")
               .withColumn("_s", start)
-              .withColumn("state_no", F.expr("shiftright(_before, cast(4 * _s AS INT)) & 15")))
+              .withColumn("state_no", F.col("_before")[F.col("_s")]))
     reports = F.lit(False)
     for i, state in enumerate(machine.states):
         for name in machine.events:
@@ -205,7 +225,7 @@ def run_machine(df: DataFrame, keys: Sequence[str], event: str, machine: Machine
                 reports = reports | ((F.col("state_no") == i) & (F.col(event) == name))
     names = F.array(*[F.lit(s) for s in machine.states])
     return uncut(placed.where(reports)).select(
-        *keys, *order, F.element_at(names, F.col("state_no").cast("int") + 1).alias("state"))
+        *keys, *order, F.element_at(names, F.col("state_no") + 1).alias("state"))
 
 
 # The three-failures machine.

@@ -209,6 +209,42 @@ def cep_followed_by(spark, sf):
                                       F.col("url") == "purchase", 12 * HOUR, ended=True)
 
 
+BROWSED, WENT_WRONG = ["click", "view"], ["signup", "error"]
+# Four rows in a row, and three with anything in between.
+STRICT_STEPS = [BROWSED, BROWSED, WENT_WRONG, ["click", "purchase"]]
+RELAXED_STEPS = [["signup"], ["error"], ["purchase"]]
+
+
+def _is_one_of(steps):
+    return [F.col("url").isin(kinds) for kinds in steps]
+
+
+@query("cep_sequence_strict", f"""
+, last4 AS (SELECT user_id, ts_ms AS t4, url AS u4, lag(ts_ms, 1) OVER w AS t3, lag(url, 1) OVER w AS u3,
+                   lag(ts_ms, 2) OVER w AS t2, lag(url, 2) OVER w AS u2, lag(ts_ms, 3) OVER w AS t1, lag(url, 3) OVER w AS u1
+            FROM clicks WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms, seq))
+SELECT user_id, t1, t2, t3, t4 FROM last4
+WHERE u1 IN ('click', 'view') AND u2 IN ('click', 'view') AND u3 IN ('signup', 'error')
+  AND u4 IN ('click', 'purchase') AND t4 - t1 < {10 * DAY}""")
+def cep_sequence_strict(spark, sf):
+    """Four different steps without rows in between."""
+    return patterns.match_sequence(clicks(spark, sf), ["user_id"], _is_one_of(STRICT_STEPS), [True] * 3, 10 * DAY)
+
+
+@query("cep_sequence_relaxed", f"""
+, numbered AS (SELECT user_id, url, ts_ms, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms, seq) AS n FROM clicks),
+ahead AS (SELECT *, min(CASE WHEN url = 'error' THEN n END) OVER w AS n_error,
+                 min(CASE WHEN url = 'purchase' THEN n END) OVER w AS n_purchase
+          FROM numbered WINDOW w AS (PARTITION BY user_id ORDER BY n ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT a.user_id, a.ts_ms AS t1, b.ts_ms AS t2, c.ts_ms AS t3
+FROM ahead a JOIN ahead b ON b.user_id = a.user_id AND b.n = a.n_error
+             JOIN ahead c ON c.user_id = b.user_id AND c.n = b.n_purchase
+WHERE a.url = 'signup' AND c.ts_ms - a.ts_ms < {10 * DAY}""")
+def cep_sequence_relaxed(spark, sf):
+    """signup, then an error, then a purchase, with other rows in between."""
+    return patterns.match_sequence(clicks(spark, sf), ["user_id"], _is_one_of(RELAXED_STEPS), [False] * 2, 10 * DAY)
+
+
 @query("state_machine", "SELECT user_id, t3 AS ts_ms, seq, 'S2' AS state FROM fails", _LAST3_SQL)
 def state_machine(spark, sf):
     return patterns.run_machine(clicks(spark, sf).withColumn("kind", login_kind()), ["user_id"], "kind",

@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.operators import elementwise, joins, patterns, ranking
-from eventloom.plans.catalog import CLICKS_SQL, DAY, HOUR, ORACLES, query
-from eventloom.plans.pairs import login_kind, payment_logs, rule_table
+from eventloom.plans.catalog import CLICKS_SQL, DAY, HOUR, MINUTE, ORACLES, query
+from eventloom.plans.pairs import RELAXED_STEPS, STRICT_STEPS, login_kind, payment_logs, rule_table
 from eventloom.plans.rows import WRITERS
 from eventloom.session import stream_session, work_dir
-from eventloom.streaming import jobs, processors
+from eventloom.sources.tables import with_arrival
+from eventloom.streaming import jobs, late, processors
 from eventloom.streaming.replay import CLOSING_AFTER, append_to_table, events_path, finish, replay
 
 # A kind that passes the filters of all jobs below which close something at the end.
@@ -279,3 +280,36 @@ def stream_cep_followed_by(spark, sf):
                                                  delay_ms=0), events_path(sf), closing=END)
 
 
+@stream_query("stream_cep_sequence_strict", same("cep_sequence_strict"))
+def stream_cep_sequence_strict(spark, sf):
+    return replay(spark, lambda s: jobs.stateful(_timed(s), "user_id", processors.SequenceMatch(STRICT_STEPS, [True] * 3, 10 * DAY),
+                                                 delay_ms=0), events_path(sf))
+
+
+@stream_query("stream_cep_sequence_relaxed", same("cep_sequence_relaxed"))
+def stream_cep_sequence_relaxed(spark, sf):
+    return replay(spark, lambda s: jobs.stateful(_timed(s), "user_id", processors.SequenceMatch(RELAXED_STEPS, [False] * 2, 10 * DAY),
+                                                 delay_ms=0), events_path(sf))
+
+
+# ---- lateness ----------------------------------------------------------------------------
+
+# Stored rows come in this order, the ``arrival`` of :func:`with_arrival`.
+ARRIVAL_ORDER = "event_id + pmod(event_id * 17, 41)"
+
+
+def _arriving(s):
+    return with_arrival(s.select("seq", "user_id", "url", "ts_ms"))
+
+
+@stream_query("stream_late_split", same("late_split"))
+def stream_late_split(spark, sf):
+    """Every row comes out, on time, firing again or late: the engine drops nothing."""
+    return (replay(spark, _arriving, events_path(sf), order=F.expr(ARRIVAL_ORDER), step=late.split(HOUR, 10 * MINUTE, HOUR))
+            .select("seq", "window_start", "window_end", "tag"))
+
+
+@stream_query("stream_late_refire", same("late_refire"))
+def stream_late_refire(spark, sf):
+    return (replay(spark, _arriving, events_path(sf), order=F.expr(ARRIVAL_ORDER), closing=END,
+                   step=late.firings("url", HOUR, 10 * MINUTE, HOUR)).drop("batch_id"))

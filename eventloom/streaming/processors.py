@@ -253,8 +253,8 @@ class StateProfile(ArrivalProcessor):
 class EventTimeProcessor(StatefulProcessor):
     """Holds rows until the watermark reaches them, then hands them over in time order.
 
-    ``delay_ms`` is set where the stream's own watermark trails the wanted one (see
-    :class:`LateSplit`).  One timer per key is pending: the earliest thing to do.
+    ``delay_ms`` is set where the wanted watermark is not the stream's own (see
+    :class:`EventTimer`).  One timer per key is pending: the earliest thing to do.
     """
 
     HELD = "ts_ms long, seq long, url string"
@@ -363,6 +363,49 @@ class ConsecutiveMatch(EventTimeProcessor):
         return out, None
 
 
+class SequenceMatch(EventTimeProcessor):
+    """A sequence of steps, each with its kinds of row; see ``patterns.match_sequence``.
+
+    ``strict[i]`` asks that step i + 1 is the very next row.  State holds the open matches,
+    which ``within_ms`` bounds: those at one step share their fate and move together.
+    """
+
+    def __init__(self, steps: list[list[str]], strict: list[bool], within_ms: int) -> None:
+        self.steps, self.strict, self.within_ms = [frozenset(s) for s in steps], strict, within_ms
+        self.OUT = ", ".join(["user_id long", *[f"t{i + 1} long" for i in range(len(steps))]])
+
+    def open(self) -> None:
+        times = ", ".join(f"t{i + 1} long" for i in range(len(self.steps) - 1))
+        self.partial = self.handle.getListState("partial", f"reached long, {times}")
+
+    def on_ready(self, key, ready, watermark):
+        last = len(self.steps) - 1
+        waits: list[list[tuple]] = [[] for _ in range(last)]
+        for reached, *times in (self.partial.get() if self.partial.exists() else ()):
+            waits[reached - 1].append(tuple(times[:reached]))
+        out = []
+        for ms, _, kind in ready:
+            moved = [[] for _ in range(last)]
+            for i in range(last):
+                if kind in self.steps[i + 1]:
+                    grown = [(*m, ms) for m in waits[i] if ms - m[0] < self.within_ms]
+                    waits[i] = []
+                    if i + 1 == last:
+                        out += [(key[0], *m) for m in grown]
+                    else:
+                        moved[i + 1] = grown
+                elif self.strict[i]:
+                    waits[i] = []
+            for i in range(1, last):
+                waits[i] += moved[i]
+            if kind in self.steps[0]:
+                waits[0].append((ms,))
+        left = [(i + 1, *m, *[0] * (last - len(m))) for i, wait in enumerate(waits) for m in wait
+                if m[0] + self.within_ms > watermark]
+        self.partial.put(left) if left else self.partial.clear()
+        return out, None
+
+
 class FollowedBy(EventTimeProcessor):
     """Each ``first`` row waits for the next ``second`` row; its deadline is a timer."""
 
@@ -486,67 +529,6 @@ class TumblingByHand(StatefulProcessor):
         pass
 
 
-class LateSplit(StatefulProcessor):
-    """Tumbling counts with allowed lateness and a side output for later rows.
-
-    Spark drops rows behind its watermark before they get here, so the stream is given a
-    watermark that trails by ``trail_ms`` more than the wanted bound; the wanted watermark
-    is the stream's plus that trail.  Rows later than the trail are lost.
-    """
-
-    OUT = "url string, tag string, window_start long, window_end long, cnt long, ts_ms long"
-
-    def __init__(self, size_ms: int, lateness_ms: int, trail_ms: int) -> None:
-        self.size_ms, self.lateness_ms, self.trail_ms = size_ms, lateness_ms, trail_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.counts = handle.getMapState("counts", "window_start long", "cnt long, fired boolean")
-
-    def handleInputRows(self, key: tuple, rows: Rows, timerValues: Any) -> Rows:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        watermark = watermark + self.trail_ms if watermark > 0 else 0
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-        out = []
-        for ms in pdf["ts_ms"].tolist():
-            start = ms // self.size_ms * self.size_ms
-            end = start + self.size_ms
-            if end + self.lateness_ms <= watermark:
-                out.append((key[0], "late", start, end, None, ms))
-                continue
-            cnt, fired = self.counts.getValue((start,)) if self.counts.containsKey((start,)) else (0, False)
-            if cnt == 0:
-                for due in {end, end + self.lateness_ms}:
-                    self.handle.registerTimer(due - self.trail_ms)
-            fired = fired or end <= watermark
-            if fired:
-                out.append((key[0], "refire", start, end, cnt + 1, None))
-            self.counts.updateValue((start,), (cnt + 1, fired))
-        if out:
-            yield self._frame(out)
-
-    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Rows:
-        due = expiredTimerInfo.getExpiryTimeInMs() + self.trail_ms
-        out = []
-        fire, drop = (due - self.size_ms,), (due - self.size_ms - self.lateness_ms,)
-        if self.counts.containsKey(fire):
-            cnt, fired = self.counts.getValue(fire)
-            if not fired:
-                out.append((key[0], "on_time", fire[0], due, cnt, None))
-                self.counts.updateValue(fire, (cnt, True))
-        if self.counts.containsKey(drop):
-            self.counts.removeKey(drop)
-        if out:
-            yield self._frame(out)
-
-    def _frame(self, out: list[tuple]) -> pd.DataFrame:
-        names = [f.strip().split(" ")[0] for f in self.OUT.split(",")]
-        return frame(names, out).astype({"cnt": "Int64", "ts_ms": "Int64"})
-
-    def close(self) -> None:
-        pass
-
-
 class ProcessingTimer(StatefulProcessor):
     """Reports each row on arrival and again ``after_ms`` of wall-clock time later."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -39,10 +39,15 @@ def append_to_table(df: DataFrame, out: str, checkpoint: str) -> DataStreamWrite
 
 
 def batches_to_table(df: DataFrame, out: str, checkpoint: str, mode: str,
-                     shape: Callable[[DataFrame], DataFrame] = lambda b: b) -> DataStreamWriter:
-    """Write each micro-batch to its own folder; a repeated batch overwrites itself."""
+                     shape: Callable[[DataFrame], DataFrame] = lambda b: b,
+                     step: Callable[[DataFrame, int, str], DataFrame] | None = None) -> DataStreamWriter:
+    """Write each micro-batch to its own folder; a repeated batch overwrites itself.
+
+    A ``step`` also gets the number of the micro-batch and a folder for what it keeps.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        rows = step(batch, batch_id, f"{checkpoint}-kept") if step else shape(batch)
+        rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write))
 
@@ -53,8 +58,9 @@ CLOSING_AFTER = timedelta(days=3650)
 
 
 def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str, *,
-           files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, order: str = "ts", mode: str = "append",
-           closing: str | None = None, shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+           files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, order: str | Column = "ts",
+           mode: str = "append", closing: str | None = None, shape: Callable[[DataFrame], DataFrame] | None = None,
+           step: Callable[[DataFrame, int, str], DataFrame] | None = None) -> DataFrame:
     """Run ``job`` over the click stream at ``path`` and return what it emitted.
 
     A keyed processor sees all rows that a micro-batch has for a key at once, so the size of
@@ -71,9 +77,10 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
     The kind must pass the job's filters.  Not for jobs that emit rows as they come or tick
     for ever: they have nothing that closes.
 
-    With ``shape`` or another mode than append the result has ``batch_id``.
+    With ``shape``, ``step`` or another mode than append the result has ``batch_id``.
     """
     session = stream_session(spark)
+    appends = mode == "append" and shape is None and step is None
     folder = work_dir(spark, "replay")
     out, checkpoint, end = f"{folder}/out", f"{folder}/checkpoint", f"{folder}/closing"
     if closing is not None:
@@ -84,10 +91,10 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
         if closing is not None:
             stream = stream.unionByName(click_stream(session, end))
         result = job(stream)
-        if mode == "append" and shape is None:
+        if appends:
             finish(append_to_table(result, out, checkpoint))
         else:
-            finish(batches_to_table(result, out, checkpoint, mode, shape or (lambda b: b)))
+            finish(batches_to_table(result, out, checkpoint, mode, shape or (lambda b: b), step))
         return result
 
     stored = spark.read.schema(EVENTS_SCHEMA).parquet(path)
@@ -109,7 +116,7 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
         last = [(-1, newest + CLOSING_AFTER, -1, closing, None, None)]
         spark.createDataFrame(last, EVENTS_SCHEMA).write.mode("append").parquet(end)
         result = start(source)
-    if mode == "append" and shape is None:
+    if appends:
         return spark.read.schema(result.schema).parquet(out)
     return spark.read.parquet(out)
 

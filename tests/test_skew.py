@@ -54,6 +54,17 @@ def test_running_over_the_whole_table(skewed, bound):
     assert rows(out, "seq", "hi") == rows(want, "seq", "hi")
 
 
+@pytest.mark.parametrize("bound", [25, 10_000])
+def test_running_over_a_table_with_sparse_numbers(skewed, bound):
+    """Number and size of the stretches follow the rows, not the numbers."""
+    sparse = skewed.withColumn("seq", F.col("seq") * F.col("seq") * 1_000)
+    out = running(sparse, [], ["seq"], {"hi": ("max", F.col("ts_ms"))}, rows_per_chunk=bound)
+    want = sparse.select("seq", F.max("ts_ms").over(Window.orderBy("seq")).alias("hi"))
+    assert rows(out, "seq", "hi") == rows(want, "seq", "hi")
+    sizes = chunk_rows(sparse, [], ["seq"], bound).groupBy("_chunk").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= bound and sizes[1] <= max(1, 4 * 930 // bound)
+
+
 @pytest.mark.parametrize("bound", BOUNDS)
 @pytest.mark.parametrize("before", [1, 3, 9])
 def test_neighbourhood(skewed, bound, before):
@@ -140,6 +151,39 @@ def test_machine_with_memory(skewed, bound):
     assert rows(got, "seq") == sorted(want)
 
 
+@pytest.mark.parametrize("bound", BOUNDS)
+def test_machine_of_many_states(skewed, bound):
+    """A counter of failures with more states than fit a number, against a plain loop."""
+    n = 20
+    names = tuple(f"n{i}" for i in range(n))
+    moves = {names[i]: {"fail": names[(i + 1) % n], "success": "Matched" if i == n - 1 else names[i], "other": names[i]}
+             for i in range(n)}
+    machine = patterns.Machine(states=names, initial="n0", moves=moves)
+    want, states = [], {}
+    for seq, user, kind in skewed.orderBy("ts_ms", "seq").select("seq", "user_id", "url").collect():
+        states[user], reports = machine.step(states.get(user, "n0"), kind)
+        if reports:
+            want.append((seq,))
+    assert rows(patterns.run_machine(skewed, ["user_id"], "url", machine, rows_per_chunk=bound), "seq") == sorted(want)
+
+
+@pytest.mark.parametrize("bound", BOUNDS)
+def test_sequence(skewed, bound):
+    """Strict, then relaxed, against a plain loop."""
+    events = skewed.orderBy("ts_ms", "seq").select("user_id", "url", "ts_ms").collect()
+    want = []
+    for user in {e.user_id for e in events}:
+        own = [e for e in events if e.user_id == user]
+        for i, e in enumerate(own[:-1]):
+            if e.url == "fail" and own[i + 1].url == "other":
+                nxt = next((x.ts_ms for x in own[i + 2:] if x.url == "success"), None)
+                if nxt is not None and nxt - e.ts_ms < 5000:
+                    want.append((user, e.ts_ms, own[i + 1].ts_ms, nxt))
+    kinds = [F.col("url") == k for k in ("fail", "other", "success")]
+    got = patterns.match_sequence(skewed, ["user_id"], kinds, [True, False], 5000, rows_per_chunk=bound)
+    assert want and rows(got, "user_id", "t1", "t2", "t3") == sorted(want, key=lambda r: tuple((v is None, v) for v in r))
+
+
 @pytest.mark.parametrize("bound", BOUNDS)
 def test_followed_by(skewed, bound):
     events = skewed.orderBy("ts_ms", "seq").select("user_id", "url", "ts_ms").collect()

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.operators import aggregates, joins, patterns, ranking, windows
+from eventloom.operators import aggregates, joins, lateness, patterns, ranking, windows
 from eventloom.session import stream_session
 from eventloom.sinks import writers
-from eventloom.sources.tables import EVENTS_SCHEMA, as_clicks
-from eventloom.streaming import jobs, processors
+from eventloom.sources.tables import EVENTS_SCHEMA, as_clicks, with_arrival
+from eventloom.streaming import jobs, late, processors
 from eventloom.streaming.replay import append_to_table, batches_to_table, click_stream, finish, replay, write_slices
 from tests.fixtures import LOGINS, ORDERS, SHIFT, rows
 
@@ -123,6 +123,11 @@ STATE_JOBS = {
                  lambda b: patterns.match_followed_by(b, ["user_id"], F.col("url") == "signup", F.col("url") == "purchase",
                                                       2 * HOUR).where("status <> 'pending'"),
                  ["user_id", "first_ms", "second_ms", "status"]),
+    "sequence": ("seq user_id ts ts_ms url", processors.SequenceMatch([["error"], ["click", "view"], ["purchase"]],
+                                                                       [True, False], 9 * HOUR), 0,
+                 lambda b: patterns.match_sequence(b, ["user_id"], [F.col("url") == "error", F.col("url").isin("click", "view"),
+                                                                    F.col("url") == "purchase"], [True, False], 9 * HOUR),
+                 ["user_id", "t1", "t2", "t3"]),
     "periodic": ("seq user_id ts ts_ms url", processors.PeriodicCount(HOUR), 0,
                  lambda b: aggregates.periodic_counts(b, "user_id", HOUR), ["user_id", "tick_ms", "pv"]),
 }
@@ -275,23 +280,45 @@ def timed(spark, tmp_path, groups):
 LATE = [[1000, 2000], [12000], [3000, 25000], [4000, 26000], [90000], [5000]]
 
 
+def late_step(spark, tmp_path, step, name):
+    s = timed(spark, tmp_path / name, LATE).withColumn("arrival", F.col("seq"))
+    out = str(tmp_path / name / "out")
+    finish(batches_to_table(s, out, str(tmp_path / name / "checkpoint"), "append", step=step))
+    return spark.read.parquet(out)
+
+
 def test_late_rows_go_to_the_side_output(spark, tmp_path):
-    trail = HOUR
-    s = timed(spark, tmp_path, LATE)
-    split = jobs.stateful(s.select("seq", "url", "ts", "ts_ms"), "url", processors.LateSplit(10000, 0, trail), delay_ms=trail)
-    out = collect(spark, split, tmp_path)
+    out = late_step(spark, tmp_path, late.split(10000, 0, 0), "split")
     assert rows(out.where("tag = 'late'"), "ts_ms") == [(SHIFT + t,) for t in (3000, 4000, 5000)]
-    assert rows(out.where("tag = 'on_time'"), "window_end", "cnt") == [
-        (SHIFT + 10000, 2), (SHIFT + 20000, 1), (SHIFT + 30000, 2)]
+    assert out.count() == sum(map(len, LATE))
+    fired = late_step(spark, tmp_path, late.firings("url", 10000, 0, 0), "fired")
+    assert rows(fired, "window_end", "firing", "cnt") == [
+        (SHIFT + 10000, 0, 2), (SHIFT + 20000, 0, 1), (SHIFT + 30000, 0, 2)]
 
 
 def test_allowed_lateness_fires_again(spark, tmp_path):
-    trail = HOUR
-    s = timed(spark, tmp_path, LATE)
-    split = jobs.stateful(s.select("seq", "url", "ts", "ts_ms"), "url", processors.LateSplit(10000, 60000, trail), delay_ms=trail)
-    out = collect(spark, split, tmp_path)
+    out = late_step(spark, tmp_path, late.split(10000, 0, 60000), "split")
     assert rows(out.where("tag = 'late'"), "ts_ms") == [(SHIFT + 5000,)]
-    assert rows(out.where("tag = 'refire'"), "window_end", "cnt") == [(SHIFT + 10000, 3), (SHIFT + 10000, 4)]
+    fired = late_step(spark, tmp_path, late.firings("url", 10000, 0, 60000), "fired")
+    assert rows(fired.where("firing > 0"), "window_end", "firing", "cnt") == [(SHIFT + 10000, 1, 3), (SHIFT + 10000, 2, 4)]
+    assert rows(fired.where("firing = 0"), "window_end", "cnt") == [
+        (SHIFT + 10000, 2), (SHIFT + 20000, 1), (SHIFT + 30000, 2)]
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_lateness_does_not_depend_on_the_batches(spark, stored, slices):
+    """Rows that arrive in disorder, in one micro-batch or in several."""
+    def out(step, **kw):
+        return replay(spark, with_arrival, stored[0], rows_per_slice=900 // slices, step=step,
+                      order=F.expr("event_id + pmod(event_id * 17, 41)"), **kw)
+
+    b = with_arrival(stored[1])
+    want = lateness.classify(b, HOUR, HOUR, HOUR)
+    assert want.select("tag").distinct().count() == 3
+    assert rows(out(late.split(HOUR, HOUR, HOUR)), "seq", "tag") == rows(want, "seq", "tag")
+    cols = ["url", "window_start", "firing", "cnt"]
+    assert (rows(out(late.firings("url", HOUR, HOUR, HOUR), closing="click"), *cols)
+            == rows(lateness.window_firings(b, "url", HOUR, HOUR, HOUR), *cols))
 
 
 def test_update_mode_refines_a_window(spark, tmp_path):
