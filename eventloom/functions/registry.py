@@ -2,7 +2,8 @@
 
 They are SQL-bodied temporary functions, so Catalyst inlines them and no row leaves the
 JVM.  An aggregate cannot be a SQL-bodied function; ``weighted_avg`` therefore takes the
-two sums: ``weighted_avg(sum(v * w), sum(w))``, which keeps map-side partial sums.
+two sums: ``weighted_avg(sum(v * w), sum(w))``, which keeps map-side partial sums.  Both are
+decimals, since the products of a busy key do not fit a BIGINT: cast ``v`` where it is large.
 """
 
 from __future__ import annotations
@@ -24,5 +25,5 @@ def register_functions(spark: SparkSession) -> None:
               "RETURN " + string_hash_sql("txt"))
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION my_split(txt STRING) "
               "RETURNS TABLE(word STRING, length INT) RETURN " + _SPLIT_SQL)
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION weighted_avg(vw BIGINT, w BIGINT) "
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION weighted_avg(vw DECIMAL(38, 0), w DECIMAL(38, 0)) "
               "RETURNS BIGINT RETURN vw div nullif(w, 0)")

@@ -207,7 +207,9 @@ SELECT user_id, CAST(sum(ts_ms * w) // nullif(sum(w), 0) AS BIGINT) AS w_avg
 FROM (SELECT user_id, ts_ms, CAST(floor(value) AS BIGINT) AS w FROM clicks) GROUP BY user_id""")
 def weighted_avg(spark, sf):
     weighted = clicks(spark, sf).withColumn("w", F.floor("value").cast("bigint"))
-    return weighted.groupBy("user_id").agg(scalar.weighted_average("ts_ms", "w").alias("w_avg"))
+    register_functions(spark)
+    return spark.sql("""SELECT user_id, weighted_avg(sum(CAST(ts_ms AS DECIMAL(20, 0)) * w), sum(w)) AS w_avg
+                        FROM {weighted} GROUP BY user_id""", weighted=weighted)
 
 
 # ---- partitioning ----------------------------------------------------------------------
