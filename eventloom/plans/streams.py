@@ -13,7 +13,7 @@ from eventloom.plans.catalog import CLICKS_SQL, DAY, HOUR, MINUTE, ORACLES, quer
 from eventloom.plans.pairs import RELAXED_STEPS, STRICT_STEPS, login_kind, payment_logs, rule_table
 from eventloom.plans.rows import WRITERS
 from eventloom.session import stream_session, work_dir
-from eventloom.sources.tables import with_arrival
+from eventloom.sources.tables import table, with_arrival
 from eventloom.streaming import jobs, late, processors
 from eventloom.streaming.replay import CLOSING_AFTER, append_to_table, events_path, finish, replay
 
@@ -205,6 +205,15 @@ def stream_count_changelog(spark, sf):
                   events_path(sf), order="event_id")
 
 
+@stream_query("stream_restart", same("count_changelog"))
+def stream_restart(spark, sf):
+    """The changelog of a stream that is stopped twice and goes on from its checkpoint: no row is
+    lost or counted again."""
+    third = -(-table(spark, sf, "events").count() // 3)
+    return replay(spark, lambda s: jobs.stateful(s.select("seq", "user_id"), "user_id", processors.CountChangelog()),
+                  events_path(sf), order="event_id", rows_per_slice=max(third, 1))
+
+
 @stream_query("stream_broadcast_rules", same("broadcast_rules"))
 def stream_broadcast_rules(spark, sf):
     """Pairs from keyed state, then a join of the stream with the small static rule table."""
