@@ -17,6 +17,8 @@ BATCH_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What a Python worker gets at once is bounded in bytes, not in rows of any length.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 STREAM_CONF = {
     **BATCH_CONF,
