@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventloom.llm.tokens import at_blanks, in_slices, load
+from eventloom.llm.tokens import KEPT_BYTES, Coder, Ragged, load, slices
 
 _NEVER = 1 << 60
-CACHE_ENTRIES = 300_000
+KNOWN_PAIRS = 200_000
 
 # Letters, numbers and white space of Latin-1 after lower-casing.
 _LETTERS, _NUMBERS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
@@ -69,13 +70,19 @@ class Backtracker:
         text = {i: self._symbols(t) for t, i in vocab.items()}
         self.automaton = ahocorasick.Automaton()
         good: dict[int, bool] = {}
+        own: dict[str, int] = {}
         for i in sorted(text, key=lambda i: self.made.get(i, -1)):
             # A token that its own text does not lead to never occurs.
             good[i] = i not in parts or (all(good.get(p, False) for p in parts[i])
                                          and self._apart(*parts[i], self.made[i]))
             if good[i]:
+                own[text[i]] = i
                 self.automaton.add_word(text[i], (len(text[i]), i))
         self.automaton.make_automaton()
+        # Of each token its length and the longest other one that it begins with.
+        self.length = {i: len(t) for t, i in own.items()}
+        self.shorter = {i: next((own[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in own), -1)
+                        for t, i in own.items()}
 
     def _symbols(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix) and token != self.suffix:
@@ -109,66 +116,62 @@ class Backtracker:
         pair = (left, right)
         known = self._compatible.get(pair)
         if known is None:
-            if len(self._compatible) >= CACHE_ENTRIES:
+            if len(self._compatible) >= KNOWN_PAIRS:
                 self._compatible.clear()
             known = self._compatible[pair] = self._apart(left, right)
         return known
 
-    def encode(self, piece: str) -> list[int]:
-        """Ids of one piece, given in byte characters."""
+    def encode(self, piece: str) -> array:
+        """Ids of one piece, given in byte characters.
+
+        What is kept of a place is the next token to try there, four bytes, so a piece of
+        many megabytes costs a few times its size.
+        """
         if self.suffix:
             piece += self.END
         size = len(piece)
-        fits: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        fits = array("i", [-1]) * size
         for end, (length, token) in self.automaton.iter(piece):
-            fits[end + 1 - length].append((length, token))  # by rising length at each place
-        at, out, ends, tried = 0, [], [], [len(f) for f in fits]
+            fits[end + 1 - length] = token  # the longest one comes last
+        at, out, length, shorter = 0, array("I"), self.length, self.shorter
         while at < size:
-            own = fits[at]
-            while tried[at]:
-                tried[at] -= 1
-                length, token = own[tried[at]]
-                if (at + length == size or tried[at + length]) and (not out or self.compatible(out[-1], token)):
+            while (token := fits[at]) >= 0:
+                fits[at] = shorter[token]
+                to = at + length[token]
+                if (to == size or fits[to] >= 0) and (not out or self.compatible(out[-1], token)):
                     out.append(token)
-                    ends.append(at)
-                    at += length
+                    at = to
                     break
             else:
                 if not out:
                     raise ValueError("a symbol is missing in the vocabulary")
-                out.pop()
-                at = ends.pop()
+                at -= length[out.pop()]
         return out
 
 
-class WordBpe:
+class WordBpe(Coder):
     """Ids of whole texts for a tokenizer that drops white space; the library normalises and
     cuts, the merges are found by ``Backtracker``."""
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, kept: int = KEPT_BYTES):
+        super().__init__(False, 4, kept)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = load(path)
         model = spec["model"]
         self.bpe = Backtracker(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.entries = entries
         chars = byte_characters()
         self.visible = {i: "".join(chars[b] for b in chr(i).encode()) for i in range(256)
                         if chr(i).encode() != chars[i].encode() or i > 127}
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
         names = model["vocab"] | self.special
         self.decoder = OffsetTable({i: t for t, i in names.items()})
 
+    def new(self, units: pa.Array) -> Ragged:
+        return Ragged.of([self._chunk(u) for u in units.to_pylist()], self.kind)
+
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = np.array(self.bpe.encode(piece), "<u4").tobytes()
-            if len(self.pieces) >= self.entries:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
+        return self.bpe.encode(piece).tobytes()
 
     def _plain(self, text: str) -> bytes:
         """Latin-1 has no combining marks, so there lower-casing is all that the
@@ -179,36 +182,18 @@ class WordBpe:
         norm = self.tokenizer.normalizer.normalize_str(text)
         return b"".join(self._piece(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(norm))
 
-    def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "surrogatepass")
+    def _chunk(self, text: str) -> bytes:
         if "<" not in text:
             return self._plain(text)
-        out = b""
+        out = []
         while text:
             hits = [(at, name) for name in self.special if (at := text.find(name)) >= 0]
-            if not hits:
-                return out + self._plain(text)
-            at, name = min(hits)
-            if at:
-                out += self._plain(text[:at])
-            out += self.special[name].to_bytes(4, "little")
+            at, name = min(hits, default=(len(text), ""))
+            out.append(self._plain(text[:at]))
+            if name:
+                out.append(self.special[name].to_bytes(4, "little"))
             text = text[at + len(name):]
-        return out
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        chunks = at_blanks(text or "")
-        ids = list(map(self.chunks.get, chunks))
-        if None in ids:
-            for i, c in enumerate(chunks):
-                if ids[i] is None:
-                    known = self.chunks.get(c)
-                    if known is None:
-                        if len(self.chunks) >= self.entries:
-                            self.chunks.clear()
-                        known = self.chunks[c] = self._chunk(c)
-                    ids[i] = known
-        return b"".join(ids)
+        return b"".join(out)
 
 
 class OffsetTable:
@@ -243,7 +228,7 @@ def encoded(text: str | Column, tokenizer: str) -> Column:
     """Ids of each whole text as binary; a null text gives no ids."""
     def run(texts: pa.Array) -> pa.Array:
         coder = word_bpe(tokenizer)
-        return pa.array([coder.encode(t) for t in texts.to_pylist()], pa.binary())
+        return pa.array([ids for part in slices(texts) for ids in coder.encode(part)], pa.binary())
 
     return F.arrow_udf(run, "binary")(text)
 
@@ -265,9 +250,8 @@ def digests(text: str | Column, tokenizer: str) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         coder = word_bpe(tokenizer)
         n, ids_sha, text_sha = [], [], []
-        for part in in_slices(texts.to_pylist()):
-            for t in part:
-                raw = coder.encode(t)
+        for part in slices(texts):
+            for raw in coder.encode(part):
                 n.append(len(raw) // 4)
                 ids_sha.append(hashlib.sha256(raw).hexdigest())
                 text_sha.append(hashlib.sha256(coder.decoder.decode(np.frombuffer(raw, "<u4"))).hexdigest())

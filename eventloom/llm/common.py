@@ -36,12 +36,6 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """Send texts to Python in small batches, so that a worker holds little at a time."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    return df
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ranked, small_batches, stored
-from eventloom.llm.tokens import encoder, in_slices
+from eventloom.llm.common import ranked, stored
+from eventloom.llm.tokens import encoder, slices
 
 PIECES_TYPE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 PIECES_WITH_IDS = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:array<int>>>"
@@ -40,10 +40,9 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int
     def cut(texts: pa.Array) -> pa.Array:
         enc, tail = encoder(tokenizer, False, 4), int(end_id).to_bytes(4, "little")
         rows = []
-        for part in in_slices(texts.to_pylist()):
-            for raw in enc.encode(part):
-                raw += tail
-                row = []
+        for part in slices(texts):
+            for ids in enc.encode(part):
+                raw, row = memoryview(bytes(ids) + tail), []
                 for i, at in enumerate(range(0, len(raw), step)):
                     own = raw[at:at + step]
                     cell = {"piece": i, "start": at // 4, "length": len(own) // 4, "ids_crc32": zlib.crc32(own)}
@@ -57,7 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int
         return pa.array(rows, pa.list_(pa.struct(fields)))
 
     udf = F.arrow_udf(cut, PIECES_WITH_IDS if with_ids else PIECES_TYPE)
-    return small_batches(docs).select(F.col(key).alias("doc_id"), F.explode(udf(text)).alias("p")).select("doc_id", "p.*")
+    return docs.select(F.col(key).alias("doc_id"), F.explode(udf(text)).alias("p")).select("doc_id", "p.*")
 
 
 def _sum_of_squares(sizes: np.ndarray, capacity: int) -> list[list[int]]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventloom.llm import (
     bpe, embedding_lsh, interleave, ngram_join, packing, pii, preferences, quality_rules, token_files, url_rules,
 )
-from eventloom.llm.common import small_batches, stored, table
+from eventloom.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,11 +68,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write(docs, BYTE_BPE, end_id=2)
     found = stored(token_files.entries(spark, folder), "token-found")
     index, buckets = token_files.build_index(found)
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(token_files.NULL_KEY))
-    keys = docs.groupBy(key.alias("key")).count().select(
-        "key", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1)).alias("copy"))
     sums = found.select("shard", "shard_start", "ids_crc32")
-    return token_files.look_up(keys, index, buckets).join(sums, ["shard", "shard_start"]).select(
+    return token_files.look_up(found, index, buckets).join(sums, ["shard", "shard_start"]).select(
         F.nullif("key", F.lit(token_files.NULL_KEY)).alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard",
         "shard_start")
 
@@ -80,7 +77,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_backtracking_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return small_batches(docs).select("doc_id", bpe.digests("text", WORD_BPE).alias("d")).select("doc_id", "d.*")
+    return docs.select("doc_id", bpe.digests("text", WORD_BPE).alias("d")).select("doc_id", "d.*")
 
 
 @query("op8_best_fit_packing")

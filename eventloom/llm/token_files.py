@@ -10,7 +10,8 @@ text, tokens) each.
 
 ``entries`` reads the shard files back; ``build_index`` maps (key, copy) to shard, start and
 length; ``look_up`` answers keys in constant time each, and tells unknown ones by their
-fingerprint (wrong for one unknown key in 4 billion).
+fingerprint (wrong for one unknown key in 4 billion); ``fetch`` cuts the ids of the answers
+from the files.
 
 Cases: a null text is empty and has the end id only; a null key comes first; rows with the
 same key are its copies 0, 1, ... in file order, and equal rows are stored each; an empty
@@ -28,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import shuffle_partitions, small_batches, stored
+from eventloom.llm.common import shuffle_partitions, stored
 from eventloom.llm.mph import PerfectHash, fingerprints, mixed
-from eventloom.llm.tokens import encoder, in_slices
+from eventloom.llm.tokens import encoder, slices
 from eventloom.session import work_dir
 
 BLOCK = 1 << 20
+SHARD_TEXT_BYTES = 64 << 20
 NULL_KEY = -(1 << 63)
 KEYS_PER_BUCKET = 50_000
 FOOT = "<QQB7s"  # payload bytes, documents, bytes of an id, magic
@@ -44,7 +46,9 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int, key: str = "doc_id",
           width: int = 2, shards: int | None = None, label: str = "token-files") -> str:
     """Write all documents; returns the folder of the shards.
 
-    ``width`` is the bytes of an id: 2 for vocabularies up to 65,536 ids, else 4.
+    ``width`` is the bytes of an id: 2 for vocabularies up to 65,536 ids, else 4.  Unless
+    ``shards`` says how many, a shard gets at most about ``SHARD_TEXT_BYTES`` of text, or
+    less where there are more shuffle partitions.
     """
     spark = docs.sparkSession
     folder = work_dir(spark, label)
@@ -56,13 +60,13 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int, key: str = "doc_id",
         entries: list[bytes] = []
         for batch in batches:
             keys = [NULL_KEY if k is None else k for k in batch.column(0).to_pylist()]
-            texts, at = batch.column(1).to_pylist(), 0
-            for part in in_slices(texts):
+            at = 0
+            for part in slices(batch.column(1)):
                 for ids in enc.encode(part):
-                    ids += tail
                     held += ids
-                    payload += len(ids)
-                    entries.append(struct.pack("<qQ", keys[at], len(ids) // width))
+                    held += tail
+                    payload += len(ids) + width
+                    entries.append(struct.pack("<qQ", keys[at], len(ids) // width + 1))
                     at += 1
                 full = len(held) // BLOCK * BLOCK
                 if full:
@@ -72,9 +76,14 @@ def write(docs: DataFrame, tokenizer: str, *, end_id: int, key: str = "doc_id",
             last = bytes(held) + b"".join(entries) + struct.pack(FOOT, payload, len(entries), width, _MAGIC)
             yield _records([last])
 
-    order = [F.col("k").asc_nulls_first(), F.col("h")]
-    laid = (small_batches(docs).select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
-            .repartitionByRange(shards or shuffle_partitions(spark), *order).sortWithinPartitions(*order))
+    # Equal rows are told apart by their place in the input, so that copies fill several shards.
+    rows = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h"),
+                       F.monotonically_increasing_id().alias("i"))
+    if shards is None:
+        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        shards = max(shuffle_partitions(spark), -(-size // SHARD_TEXT_BYTES))
+    order = [F.col("k").asc_nulls_first(), F.col("h"), F.col("i")]
+    laid = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     laid.select("k", "t").mapInArrow(encode, "value binary").select(
         F.col("value").cast("string")).write.option("compression", "none").text(folder)
     return folder
@@ -100,6 +109,10 @@ class Shard:
         table = np.frombuffer(body, [("key", "<i8"), ("n", "<u8")], n, rest + size - blocks * BLOCK)
         self.keys, self.lengths = table["key"], table["n"].astype(np.int64)
 
+    @staticmethod
+    def width_of(raw: bytes) -> int:
+        return struct.unpack_from(FOOT, raw, len(raw) - 1 - struct.calcsize(FOOT))[2]
+
     def ids(self, start: int, n: int) -> np.ndarray:
         return np.frombuffer(self.payload, f"<u{self.width}", n, start * self.width)
 
@@ -110,35 +123,51 @@ def file_place(start: int, width: int) -> int:
     return at + at // BLOCK
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, content) of the shard files; a file is as large as its shard, see ``write``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    number = F.regexp_extract("path", r"/part-([0-9]+)", 1).cast("bigint")
+    return files.where("length > 0").select(number.alias("shard"), "content")
+
+
 def entries(spark: SparkSession, folder: str) -> DataFrame:
     """(key, copy, shard, shard_start, start, n_tokens, ids_crc32) of all documents, read from
     the files: ``start`` counts the ids of all documents before, ``shard_start`` those in the
     shard; the checksum is over the ids as 32-bit integers."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for number, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 shard = Shard(raw.as_py())
                 starts = np.cumsum(shard.lengths) - shard.lengths
                 sums = [zlib.crc32(shard.ids(s, n).astype("<u4").tobytes())
                         for s, n in zip(starts.tolist(), shard.lengths.tolist())]
-                number = int(name.rsplit("/part-", 1)[1][:5].split("-")[0])
                 size = len(starts)
+                opens = np.flatnonzero(np.concatenate([[True], shard.keys[1:] != shard.keys[:-1]]))
+                copy = np.arange(size) - np.repeat(opens, np.diff(np.append(opens, size)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard.keys, pa.int64()), pa.array(np.full(size, number), pa.int64()),
-                     pa.array(np.arange(size), pa.int64()), pa.array(starts, pa.int64()),
+                     pa.array(np.arange(size), pa.int64()), pa.array(copy, pa.int64()), pa.array(starts, pa.int64()),
                      pa.array(shard.lengths, pa.int64()), pa.array(sums, pa.int64())],
-                    ["key", "shard", "place", "shard_start", "n_tokens", "ids_crc32"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
-    found = stored(files.where("length(content) > 0").mapInArrow(
-        read, "key bigint, shard bigint, place bigint, shard_start bigint, n_tokens bigint, ids_crc32 bigint"),
-        "token-entries")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each shard
-    shards = found.groupBy("shard").agg(F.sum("n_tokens").alias("tokens")).select(
-        "shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("shard_first"))
-    copy = Window.partitionBy("key").orderBy("shard", "place")
-    return (found.join(shards, "shard").withColumn("start", F.col("shard_first") + F.col("shard_start"))
-            .withColumn("copy", F.row_number().over(copy).cast("bigint") - 1)
+                    ["key", "shard", "place", "own_copy", "shard_start", "n_tokens", "ids_crc32"])
+
+    found = stored(_files(spark, folder).mapInArrow(
+        read, "key bigint, shard bigint, place bigint, own_copy bigint, shard_start bigint, n_tokens bigint, "
+              "ids_crc32 bigint"), "token-entries")
+    # One row for each shard from here to the end: where it starts, and how many copies of its
+    # first key lie in earlier shards.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = stored(found.groupBy("shard").agg(
+        F.sum("n_tokens").alias("tokens"), F.min_by("key", "place").alias("first_key")).select(
+        "shard", "first_key", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("shard_first")), "token-shards")
+    edges = shards.select(F.col("first_key").alias("key")).distinct()
+    of_key = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (found.join(F.broadcast(edges), "key").groupBy("key", "shard").count()
+               .select("shard", F.col("key").alias("first_key"),
+                       F.coalesce(F.sum("count").over(of_key), F.lit(0)).alias("earlier")))
+    placed = shards.join(earlier, ["shard", "first_key"])
+    own_first = F.col("key") == F.col("first_key")
+    return (found.join(F.broadcast(placed), "shard").withColumn("start", F.col("shard_first") + F.col("shard_start"))
+            .withColumn("copy", F.col("own_copy") + F.when(own_first, F.col("earlier")).otherwise(0))
             .select("key", "copy", "shard", "shard_start", "start", "n_tokens", "ids_crc32"))
 
 
@@ -197,3 +226,25 @@ def look_up(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     return (_bucketed(keys.select("key", "copy"), buckets).groupBy("bucket")
             .cogroup(index.groupBy("bucket"))
             .applyInArrow(find, "key bigint, copy bigint, shard bigint, shard_start bigint, start bigint, n_tokens bigint"))
+
+
+def fetch(spark: SparkSession, folder: str, places: DataFrame) -> DataFrame:
+    """(key, copy, ids) of the rows of ``look_up``: each shard that is asked for is read once,
+    and the ids are cut from its bytes at the places of the index."""
+    def cut(asked: pa.Table, file: pa.Table) -> pa.Table:
+        out = []
+        if file.num_rows:
+            raw = file["content"][0].as_py()
+            width = Shard.width_of(raw)
+            for start, n in zip(asked["shard_start"].to_pylist(), asked["n_tokens"].to_pylist()):
+                own = raw[file_place(start, width):file_place(start + n - 1, width) + width]
+                gaps = range(BLOCK - start * width % BLOCK, len(own), BLOCK + 1)
+                own = b"".join(own[a:b] for a, b in zip([0, *[g + 1 for g in gaps]], [*gaps, len(own)]))
+                out.append(np.frombuffer(own, f"<u{width}").astype(np.int32))
+        else:
+            asked = asked.slice(0, 0)
+        return pa.table({"key": asked["key"], "copy": asked["copy"], "ids": pa.array(out, pa.list_(pa.int32()))})
+
+    asked = places.select("key", "copy", "shard", "shard_start", "n_tokens")
+    return asked.groupBy("shard").cogroup(_files(spark, folder).groupBy("shard")).applyInArrow(
+        cut, "key bigint, copy bigint, ids array<int>")
