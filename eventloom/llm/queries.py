@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import (
-    bpe, embedding_lsh, interleave, ngram_join, packing, pii, preferences, quality_rules, token_files, url_rules,
+    bpe, embedding_lsh, fill_middle, importance, interleave, ngram_join, packing, pii, preferences, quality_rules,
+    secret_scan, token_files, url_rules,
 )
 from eventloom.llm.common import stored, table
 
@@ -155,6 +156,55 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+@query("op11_importance_resampling")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aim = table(spark, sf_dir, "benchmark").select("text")
+    rows = importance.scored(docs, aim, most_words=1, buckets=10_000, seed=2024)
+    return importance.draw(rows, percent=10, least_words=20).select(
+        F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+FILL_MIDDLE_SQL = """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+                FROM documents),
+numbered AS (SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+                    CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+                    CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM hashed),
+cut AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                         OR h3 % 100 >= 90 THEN 'plain'
+                    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbered),
+parts AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix
+          FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                        ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+
+@query("op12_fill_middle", FILL_MIDDLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", fill_middle.digests("doc_id", "text").alias("d")).select("doc_id", "d.*")
+
+
+@query("op13_secret_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.with_spans(docs, "found")
+
+    def of(*kinds: str):
+        return F.filter("found", lambda s: s["kind"].isin(*kinds))
+
+    base = secret_scan.KINDS[:3]
+    return found.select(
+        "doc_id", *(F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base),
+        F.sha2(secret_scan.listed(of(*base)), 256).alias("base_sha256"), secret_scan.listed("found").alias("spans"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
