@@ -106,7 +106,8 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     depth, tables = tables_for(vectors.count(), cosine, recall, width)
     made = stored(sketches(vectors, key, vector, depth, tables, width, seed), "lsh-sketches")
     classes = stored(made.where("digest is not null and vec_id is not null").groupBy("digest").agg(
-        F.min("vec_id").alias("node"), F.count("*").alias("size"), F.first("keys").alias("keys"),
+        F.min("vec_id").alias("node"), F.count("*").alias("size"), F.first(F.octet_length("data")).cast("bigint").alias("bytes"),
+        F.first("keys").alias("keys"),
         F.first("data").alias("data")), "lsh-classes")
 
     def payload(nodes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ Ranks are made inside hash buckets with counts of the earlier ones added, so a s
 size is spread over many tasks, and only ids, sizes and hashes are shuffled, no texts.
 Cases: null sources are a stratum of their own; a null text is empty; rows that agree in key,
 source and text may take each other's place; fewer rows than shards leave shards empty; an
-empty table gives no rows.  Other columns pass through.
+empty table gives no rows.  Columns ``shard`` and ``slot`` are replaced, others pass through.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import components, runs, stored
 
 BROADCAST_ROWS = 2_000_000
+BLOCK_BYTES = 16_000_000
 
 # Of the payloads of a block, which pairs are linked.
 Linked = Callable[[list[bytes]], np.ndarray]
@@ -31,10 +32,10 @@ def small(ids: DataFrame) -> DataFrame:
 
 
 def meetings(classes: DataFrame, label: str) -> DataFrame:
-    """(pivot, node) for all ``classes`` (node, keys) that share a key with another one."""
-    keys = classes.select("node", F.explode("keys").alias("k"))
+    """(pivot, node, bytes) for all ``classes`` (node, bytes, keys) that share a key with another one."""
+    keys = classes.select("node", "bytes", F.explode("keys").alias("k"))
     shared = keys.groupBy("k").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    return stored(keys.join(shared, "k").select("pivot", "node").distinct(), f"{label}-meetings")
+    return stored(keys.join(shared, "k").select("pivot", "node", "bytes").distinct(), f"{label}-meetings")
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -86,17 +87,19 @@ def _verify(linked: Linked) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 def find(classes: DataFrame, payload: Callable[[DataFrame], DataFrame], linked: Linked, label: str,
          block: int = 256) -> DataFrame:
-    """``classes`` (node, size, keys) with ``links``, the sizes of the classes that a class is
+    """``classes`` (node, size, bytes, keys) with ``links``, the sizes of the classes that a class is
     linked to, and ``component``, the smallest node it hangs together with.
 
     ``payload`` gets the frame of nodes that need verification, (node), and returns
-    (node, data) with what ``linked`` compares.
+    (node, data) with what ``linked`` compares, of about ``bytes`` bytes.  A block has about
+    ``block`` nodes, fewer where their data would be above ``BLOCK_BYTES``.
     """
     meet = meetings(classes, label)
     nodes = stored(meet.groupBy("node").agg(F.collect_set("pivot").alias("pivots")), f"{label}-nodes")
-    sizes = meet.groupBy("pivot").count().select("pivot", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    sizes = meet.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("bytes") / BLOCK_BYTES))
+                                      .cast("int").alias("blocks"))
     x, y = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("y")
-    dealt = (meet.join(sizes, "pivot").withColumn("x", x)
+    dealt = (meet.drop("bytes").join(sizes, "pivot").withColumn("x", x)
              .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("pivot", "node", "x", F.least("x", y).alias("a"), F.greatest("x", y).alias("b")))
     known = nodes.join(classes.select("node", "size"), "node").join(payload(nodes.select("node")), "node")

@@ -29,6 +29,7 @@ from eventloom.llm.common import free_names, stored
 from eventloom.llm.mph import mixed
 
 WORDS_CACHED = 250_000
+LONGEST_CACHED = 64  # bytes; longer words are hashed each time, so the cache is bounded in bytes
 _word_hash: dict[bytes, int] = {}
 
 
@@ -53,7 +54,9 @@ def grams(text: str | None, n: int) -> np.ndarray:
             _word_hash.clear()
         for i, w in enumerate(words):
             if known[i] is None:
-                known[i] = _word_hash[w] = xxhash.xxh3_64_intdigest(w)
+                known[i] = xxhash.xxh3_64_intdigest(w)
+                if len(w) <= LONGEST_CACHED:
+                    _word_hash[w] = known[i]
     h = np.array(known, np.uint64)
     width = min(n, len(h))
     out = np.full(len(h) - width + 1, width, np.uint64)
@@ -77,30 +80,33 @@ def _permutations(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(doc_id, digest of the set, keys: one for each band); both null without words."""
+    """(doc_id, digest of the set, its bytes, keys: one for each band); all null without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scale, shift = _permutations(bands * rows, seed)
         for batch in batches:
-            digests, keys = [], []
+            digests, sizes, keys = [], [], []
             for t in batch.column(1).to_pylist():
                 g = grams(t, n)
                 if not len(g):
                     digests.append(None)
+                    sizes.append(None)
                     keys.append(None)
                     continue
                 digests.append(hashlib.md5(g.tobytes()).digest())
+                sizes.append(g.nbytes)
                 low = signature(g, scale, shift).reshape(bands, rows)
                 band = np.arange(bands, dtype=np.uint64)
                 for i in range(rows):
                     band = mixed(band + low[:, i], i + 50)
                 keys.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "digest", "keys"])
+                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "bytes", "keys"])
         forget_words()
 
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, digest binary, keys array<bigint>")
+        run, "doc_id bigint, digest binary, bytes bigint, keys array<bigint>")
 
 
 def similar(threshold: float):
@@ -158,7 +164,8 @@ def join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 5
     bands = bands_for(threshold, recall, rows)
     made = stored(sketches(docs, key, text, n, bands, rows, seed), "ngram-sketches")
     classes = stored(made.where("digest is not null and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.count("*").alias("size"), F.first("keys").alias("keys")), "ngram-classes")
+        F.min("doc_id").alias("node"), F.count("*").alias("size"), F.first("bytes").alias("bytes"),
+        F.first("keys").alias("keys")), "ngram-classes")
     found = links.find(classes, _sets(docs, key, text, n), similar(threshold), "ngram").select(
         "digest", "node", "size", "links", "component")
     return (made.select("doc_id", "digest").join(found, "digest", "left")

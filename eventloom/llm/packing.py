@@ -4,10 +4,11 @@ Every document is its ids and an end id; what is longer than a sequence is cut i
 of that length.  Where a piece goes depends only on its length, so the packing is planned
 on the histogram of lengths, at most ``capacity`` numbers however many documents there are:
 pieces are placed one by one where the squared counts of open bins per remaining gap become
-smallest, then the emptiest bins are opened and their pieces placed by best fit.  Above
-``plan_items`` pieces the histogram is divided, the plan of the part is repeated, and what
-is left over is planned in the same way.  Pieces of one length are interchangeable; they
-are ranked in parallel and look up their place in the plan, whose size is bounded.
+smallest, then the emptiest bins are opened and their pieces placed by best fit.  N pieces
+are planned as ceil(N / plan_items) equal parts of the histogram: one part is planned and
+its plan repeated, and the remainder, fewer pieces of each length than parts, is planned by
+the same rule until nothing is left.  Pieces of one length are interchangeable; they are
+ranked in parallel and look up their place in the plan, whose size is bounded.
 
 Cases: a null text is empty and an empty text is one piece with the end id; repeated
 documents are packed each; an empty table gives no rows.  Other columns stay out.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import ranked, stored
+from eventloom.llm.common import ranked, shuffle_partitions, stored
 from eventloom.llm.tokens import encoder, slices
 
 PIECES_TYPE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
@@ -159,7 +160,7 @@ def pack(cut: DataFrame, *, capacity: int = 2048, plan_items: int = PLAN_ITEMS)
     total = sum(counts.values())
     runs = spark.sparkContext.broadcast(places(plan(counts, capacity, plan_items)))  # bounded by plan_items
     thin = cut.select("doc_id", "piece", "start", "length", "ids_crc32").withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(max(1, -(-total // RANK_BUCKET)))))
+        "bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(max(shuffle_partitions(spark), -(-total // RANK_BUCKET)))))
     in_length = ranked(thin, "length", [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], "bucket", "rank")
 
     def place(lengths: pa.Array, ranks: pa.Array) -> pa.Array:

@@ -49,7 +49,7 @@ WIDE = {
     "card": r"(?<![0-9])(?:[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,4})?|[0-9]{7,19}+)(?![0-9])",
     "phone": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
              r"|(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{12,}+=*+",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+=*+",
 }
 _ANY = r"[0-9@]|[\[(]at[\])]"
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>"
@@ -64,24 +64,34 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _running(sizes: Column, step: int = 256) -> Column:
-    """Running sums of an array, by blocks, so that a long array is not copied for each
-    of its elements."""
-    def last(a: Column) -> Column:
-        return F.coalesce(F.get(a, F.size(a) - 1), F.lit(0).cast("bigint"))
+_STEP = 256
+
+
+def _blocks(a: Column) -> Column:
+    """The numbers of an array's blocks of ``_STEP`` elements: folds go block by block, so that
+    a long array is not copied for each of its elements."""
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(a) - 1) / _STEP)).cast("int"))
 
-    def sums(a: Column) -> Column:
-        return F.aggregate(a, F.array().cast("array<bigint>"), lambda acc, x: F.concat(acc, F.array(last(acc) + x)))
 
-    def blocks(a: Column) -> Column:
-        most = F.greatest(F.lit(0), F.floor((F.size(a) - 1) / step)).cast("int")
-        return F.transform(F.sequence(F.lit(0), most), lambda b: sums(F.slice(a, b * step + 1, step)))
+def _block(a: Column, b: Column) -> Column:
+    return F.slice(a, b * _STEP + 1, _STEP)
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column] = lambda x, y: x + y) -> Column:
+    """Running sums (or maxima) of an array of numbers from 0 on."""
+    zero = F.lit(0).cast("bigint")
+
+    def last(a: Column) -> Column:
+        return F.coalesce(F.get(a, F.size(a) - 1), zero)
+
+    def folded(a: Column) -> Column:
+        return F.aggregate(a, F.array().cast("array<bigint>"), lambda acc, x: F.concat(acc, F.array(combine(last(acc), x))))
 
     def whole(parts: Column) -> Column:
-        return _let(sums(F.transform(parts, last)), lambda ends: F.flatten(F.transform(
-            parts, lambda part, i: F.transform(part, lambda v: v + F.coalesce(F.get(ends, i - 1), F.lit(0))))))
+        return _let(folded(F.transform(parts, last)), lambda ends: F.flatten(F.transform(
+            parts, lambda part, i: F.transform(part, lambda v: combine(v, F.coalesce(F.get(ends, i - 1), zero))))))
 
-    return _let(sizes, lambda a: _let(blocks(a), whole))
+    return _let(values, lambda a: _let(F.transform(_blocks(a), lambda b: folded(_block(a, b))), whole))
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -197,11 +207,12 @@ def learn(docs: DataFrame, *, text: str = "text", sample_docs: int = 20_000, mos
     c = F.col("c")
     rows = (docs.select(t.alias("t")).where(F.pmod(F.xxhash64(F.lit(seed), "t"), F.lit(1_000_000)) < keep)
             .where(F.col("t").rlike(_ANY)).select(F.explode(_candidates(F.col("t"))).alias("c"))
-            .select(F.coalesce(_strict(c), F.lit(False)).cast("double").alias("y"), *(c["f"][f].alias(f) for f in FEATURES))
-            .limit(most_candidates).collect())
+            .select(F.coalesce(_strict(c), F.lit(False)).cast("double").alias("y"), *(c["f"][f].alias(f) for f in FEATURES),
+                    F.xxhash64(F.lit(seed), c["value"], c["start"]).alias("h"))
+            .orderBy("h").limit(most_candidates).collect())
     if not rows:
         return None
-    data = np.array([list(r) for r in rows], np.float64)
+    data = np.array([list(r)[:-1] for r in rows], np.float64)
     data = data[np.lexsort(data.T)]  # the order of rows must not matter
     data = data[np.random.default_rng(seed).permutation(len(data))]
     y, x = data[:, 0], data[:, 1:]
@@ -223,6 +234,8 @@ def learn(docs: DataFrame, *, text: str = "text", sample_docs: int = 20_000, mos
 _OUT = "array<struct<start:bigint,k:int,end:bigint>>"
 _STATE = "struct<out:array<struct<start:bigint,k:int,end:bigint>>,next:struct<start:bigint,k:int,end:bigint,m:double>,base_end:bigint>"
 
+_STATES = _STATE.replace("out:array<struct<start:bigint,k:int,end:bigint>>", "outs:array<array<struct<start:bigint,k:int,end:bigint>>>")
+
 
 def _added(base: Column, candidates: Column, model: Model) -> Column:
     """Selected candidates that overlap neither a base span nor a better candidate, by one
@@ -257,8 +270,21 @@ def _added(base: Column, candidates: Column, model: Model) -> Column:
                         .otherwise(state(flushed(s), c, s["base_end"])))
         return F.when(c["m"].isNull(), on_base).otherwise(on_candidate)
 
-    empty = state(F.array().cast(_OUT), none, F.lit(0).cast("bigint"))
-    return F.aggregate(F.array_sort(F.concat(fixed, chosen)), empty, step, flushed)
+    def gathered(outs: Column, s: Column) -> Column:
+        return F.struct(outs.alias("outs"), s["next"].alias("next"), s["base_end"].alias("base_end")).cast(_STATES)
+
+    def over_blocks(spans: Column) -> Column:
+        def block(s: Column, b: Column) -> Column:
+            within = F.aggregate(_block(spans, b), state(F.array().cast(_OUT), s["next"], s["base_end"]), step)
+            return _let(within, lambda t: gathered(F.concat(s["outs"], F.array(t["out"])), t))
+
+        def finished(s: Column) -> Column:
+            return F.flatten(F.concat(s["outs"], F.array(flushed(state(F.array().cast(_OUT), s["next"], s["base_end"])))))
+
+        empty = gathered(F.array().cast(f"array<{_OUT}>"), state(F.array().cast(_OUT), none, F.lit(0).cast("bigint")))
+        return F.aggregate(_blocks(spans), empty, block, finished)
+
+    return _let(F.array_sort(F.concat(fixed, chosen)), over_blocks)
 
 
 def with_spans(docs: DataFrame, model: Model | None, base: str, added: str, *, text: str = "text") -> DataFrame:
@@ -285,23 +311,52 @@ def redacted(text: Column, spans: Column) -> Column:
     one, named after the first."""
     names = F.array(*map(F.lit, KINDS))
 
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        joined = F.struct(last["start"].alias("start"), last["k"].alias("k"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when((F.size(acc) > 0) & (s["start"] < last["end"]),
-                      F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(s)))
+    def merged(a: Column, ends: Column) -> Column:
+        """Stretches (start, k, end); ``ends`` are the highest ends up to each span."""
+        opens = F.filter(F.sequence(F.lit(0), F.size(a) - 1),
+                         lambda i: (i == 0) | (F.get(a, i)["start"] >= F.get(ends, i - 1)))
+        return _let(opens, lambda firsts: F.transform(firsts, lambda f, j: F.struct(
+            F.get(a, f)["start"].alias("start"), F.get(a, f)["k"].alias("k"),
+            F.get(ends, F.coalesce(F.get(firsts, j + 1), F.size(a)) - 1).alias("end"))))
 
-    def cut(parts: Column) -> Column:
+    def cut(parts: Column, pages: Column) -> Column:
         def before(s: Column, i: Column) -> Column:
             start = F.coalesce(F.get(parts, i - 1)["end"], F.lit(0))
-            return F.concat(F.substring(text, (start + 1).cast("int"), (s["start"] - start).cast("int")),
-                            F.lit("["), F.upper(F.get(names, s["k"])), F.lit("]"))
+            return F.concat(_stretch(pages, start, s["start"]), F.lit("["), F.upper(F.get(names, s["k"])), F.lit("]"))
 
         end = F.get(parts, F.size(parts) - 1)["end"]
-        return F.concat(F.array_join(F.transform(parts, before), ""), F.substring(text, (end + 1).cast("int"), F.length(text)))
+        return F.concat(F.array_join(F.transform(parts, before), ""), _stretch(pages, end, F.length(text).cast("bigint")))
+
+    def whole(a: Column) -> Column:
+        ends = _running(F.transform(a, lambda s: s["end"]), F.greatest)
+        return _let(ends, lambda e: _let(merged(a, e), lambda parts: _let(_pages(text), lambda pages: cut(parts, pages))))
+
+    return F.when(F.size(spans) > 0, _let(F.array_sort(spans), whole)).otherwise(text)
+
+
+_PAGE = 4096
+
+
+def _pages(text: Column) -> Column:
+    """A text in stretches of ``_PAGE`` code points, so that a place is found without a search
+    from the beginning of the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))
+
+
+def _stretch(pages: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` up to ``end``."""
+    def number(c: Column) -> Column:
+        return F.floor(c / _PAGE).cast("int")
+
+    def inside(c: Column) -> Column:
+        return (c % _PAGE).cast("int")
 
-    merged = F.aggregate(F.array_sort(spans), F.array().cast(_OUT), merge)
-    return F.when(F.size(spans) > 0, _let(merged, cut)).otherwise(text)
+    first, last = number(start), number(end)
+    own, final = F.coalesce(F.get(pages, first), F.lit("")), F.coalesce(F.get(pages, last), F.lit(""))
+    between = F.array_join(F.slice(pages, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return (F.when(first == last, F.substring(own, inside(start) + 1, (end - start).cast("int")))
+            .otherwise(F.concat(F.substring(own, inside(start) + 1, F.lit(_PAGE)), between,
+                                F.substring(final, F.lit(1), inside(end)))))
 
 
 def redact(docs: DataFrame, model: Model | None, *, text: str = "text", size: str | None = None) -> DataFrame:

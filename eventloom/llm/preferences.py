@@ -9,10 +9,12 @@ however long, is gathered in one row; turns are compared by digests, place by pl
 ``assemble`` joins the segments of pairs whose size is known to be bounded.
 
 Cases: turn numbers are places, a null one comes last; repeated turn numbers follow in the
-order of role and text; null roles and texts are empty; rows without a conversation and
-conversations without a pair are left out; a pair with one side missing has no prompt; if
-one side is a prefix of the other, its completion has no rows; markers inside a text are
-broken up, so that no text can end its turn.  Other columns stay out.
+order of role and text; null roles and texts are rendered as empty ones, but are told apart
+from them where the sides are compared; rows without a conversation, conversations without
+a pair and pairs with a null pair_id are left out; a pair that is given several times counts
+once, and one pair_id must not name several pairs; a pair with one side missing has no
+prompt; if one side is a prefix of the other, its completion has no rows; markers inside a
+text are broken up, so that no text can end its turn.  Other columns stay out.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ def segments(conversations: DataFrame, pairs: DataFrame, *, learned: str = "assi
     copy = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     turns = (conversations.where("conv_id is not null").select("conv_id", "turn", "role", "text")
              .withColumn("copy", F.row_number().over(copy) - 1))
-    sides = pairs.select("pair_id", F.explode(F.array(
+    known = pairs.where("pair_id is not null").select("pair_id", "chosen_id", "rejected_id").distinct()
+    sides = known.select("pair_id", F.explode(F.array(
         F.struct(F.lit("chosen").alias("side"), F.col("chosen_id").alias("conv_id")),
         F.struct(F.lit("rejected").alias("side"), F.col("rejected_id").alias("conv_id")))).alias("s")).select(
         "pair_id", "s.side", "s.conv_id")

@@ -5,7 +5,8 @@ conjunctions of thresholds by sequential covering on a bounded sample of labelle
 ``verdict`` turns them into one ordered Spark conditional expression.
 
 Cases: a null text counts as empty; an empty text has no words and fails the base rule;
-labels that are null or of unknown documents are left out; repeated rows are judged alike;
+labels that are null or of unknown documents are left out; of contradicting labels of one
+document the worse counts; repeated rows are judged alike;
 without labelled rows of both classes the list is empty and keeps all.  Other columns, of
 whatever name, pass through.
 """
@@ -20,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import free_names
+
 
 # Counts of a text that UDF ``_counts`` returns.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -156,7 +159,7 @@ def fit(x: np.ndarray, bad: np.ndarray, names: list[str], *, least_precision: fl
         most_rules: int = 12, most_conditions: int = 4, cuts: int = 32, seed: int = 7) -> list[Rule]:
     """Sequential covering: grow a rule on two thirds of the rows, drop its last conditions
     while that does not make it worse on the other third, keep it if enough of what it
-    covers there is bad, remove what it covers, go on."""
+    covers on that third is bad, remove what it covers, go on."""
     rng = np.random.default_rng(seed)
     rules: list[Rule] = []
     live = np.arange(len(x))
@@ -168,11 +171,11 @@ def fit(x: np.ndarray, bad: np.ndarray, names: list[str], *, least_precision: fl
             break
         while len(rule) > 1 and _worth(x[b], bad[b], names, rule[:-1]) >= _worth(x[b], bad[b], names, rule):
             rule = rule[:-1]
-        hit = _holds(x[live], names, rule)
-        if not hit.any() or bad[live][hit].mean() < least_precision:
+        proof = _holds(x[b], names, rule)
+        if not proof.any() or bad[b][proof].mean() < least_precision:
             break
         rules.append(rule)
-        live = live[~hit]
+        live = live[~_holds(x[live], names, rule)]
     return rules
 
 
@@ -184,19 +187,18 @@ def learn(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str
     The sample is drawn from the labels by a hash of the key, so only its ids, a bounded
     number, are broadcast; ``stats`` names a column made by ``with_statistics``.
     """
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(
-        F.min(F.col(label).cast("int")).alias("good_"))
+    own, good = free_names(docs, "key_", "good_")
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias(own)).agg(
+        F.min(F.col(label).cast("int")).alias(good))
     n = known.count()
     if n > sample_rows:
         keep = int(sample_rows / n * 1_000_000)
-        known = known.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < keep)
-    known = known.select(F.col(key).alias("key_"), "good_")
-    base = docs if stats is None else docs.select(key, stats)
-    sample = base.join(F.broadcast(known), F.col(key) == F.col("key_"))
+        known = known.where(F.pmod(F.xxhash64(F.lit(seed), F.col(own)), F.lit(1_000_000)) < keep)
+    sample = docs.select(key, text if stats is None else stats).join(F.broadcast(known), F.col(key) == F.col(own))
     if stats is None:
-        sample = with_statistics(sample.select(F.col("key_"), "good_", F.col(text).alias("text_")), "stats_", "text_")
-        stats = "stats_"
-    rows = sample.select("good_", *ratios(stats)).collect()
+        sample = with_statistics(sample.select(F.col(good).alias("good_"), F.col(text).alias("text_")), "stats_", "text_")
+        good, stats = "good_", "stats_"
+    rows = sample.select(good, *ratios(stats)).collect()
     if not rows:
         return []
     data = np.array([list(r) for r in rows], np.float64)
