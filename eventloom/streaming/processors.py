@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from eventloom.operators.automaton import Pattern
 from eventloom.operators.patterns import Machine
 
 Rows = Iterator[pd.DataFrame]
@@ -153,6 +154,20 @@ class CountChangelog(ArrivalProcessor):
         return pd.concat([old, new], ignore_index=True)
 
 
+class RunningCount(ArrivalProcessor):
+    """The count of a key after each of its rows."""
+
+    OUT = "seq long, user_id long, cnt long"
+
+    def open(self) -> None:
+        self.count = self.handle.getValueState("count", "n long")
+
+    def on_rows(self, key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        (seen,) = self.value_or(self.count, (0,))
+        self.count.update((seen + len(pdf),))
+        return pd.DataFrame({"seq": pdf["seq"], "user_id": key[0], "cnt": seen + 1 + np.arange(len(pdf))})
+
+
 class PreviousAction(ArrivalProcessor):
     """Pair each action with the key's previous one; rules are joined afterwards."""
 
@@ -277,6 +292,11 @@ class EventTimeProcessor(StatefulProcessor):
     def columns(self) -> list[str]:
         return [f.strip().split(" ")[0] for f in self.OUT.split(",")]
 
+    def _emits(self, key: str, columns: list[str]) -> None:
+        """Output of the key (name and type) and long columns, unless the class says otherwise."""
+        if not hasattr(self, "OUT"):
+            self.OUT = ", ".join([key, *[c if " " in c else f"{c} long" for c in columns]])
+
     def _arm(self, times: list[int]) -> None:
         if not times:
             self.due.clear()
@@ -344,9 +364,9 @@ class OverAverage(EventTimeProcessor):
 class ConsecutiveMatch(EventTimeProcessor):
     """``times`` consecutive rows of one kind, optionally within a time bound."""
 
-    def __init__(self, kind: str, times: int, within_ms: int | None = None) -> None:
+    def __init__(self, kind: str, times: int, within_ms: int | None = None, key: str = "user_id long") -> None:
         self.kind, self.times, self.within_ms = kind, times, within_ms
-        self.OUT = ", ".join(["user_id long", *[f"t{i + 1} long" for i in range(times)]])
+        self._emits(key, [f"t{i + 1}" for i in range(times)])
 
     def open(self) -> None:
         self.run = self.handle.getListState("run", "ts_ms long")
@@ -370,9 +390,9 @@ class SequenceMatch(EventTimeProcessor):
     which ``within_ms`` bounds: those at one step share their fate and move together.
     """
 
-    def __init__(self, steps: list[list[str]], strict: list[bool], within_ms: int) -> None:
+    def __init__(self, steps: list[list[str]], strict: list[bool], within_ms: int, key: str = "user_id long") -> None:
         self.steps, self.strict, self.within_ms = [frozenset(s) for s in steps], strict, within_ms
-        self.OUT = ", ".join(["user_id long", *[f"t{i + 1} long" for i in range(len(steps))]])
+        self._emits(key, [f"t{i + 1}" for i in range(len(steps))])
 
     def open(self) -> None:
         times = ", ".join(f"t{i + 1} long" for i in range(len(self.steps) - 1))
@@ -406,6 +426,98 @@ class SequenceMatch(EventTimeProcessor):
         return out, None
 
 
+class PatternMatch(EventTimeProcessor):
+    """A pattern whose steps may repeat; see ``automaton.match_pattern``.
+
+    State holds the matches that are open, which the time limit bounds.  Those that have found
+    equally many rows wait for the same next one, so they are moved, broken or kept together.
+    """
+
+    def __init__(self, pattern: Pattern, key: str = "user_id long") -> None:
+        self.rows, self.within_ms = pattern.rows, pattern.within_ms
+        self._emits(key, ["status string", *pattern.columns[1:]])
+
+    def open(self) -> None:
+        times = ", ".join(f"t{i + 1} long" for i in range(len(self.rows)))
+        self.partial = self.handle.getListState("partial", f"reached long, {times}")
+
+    def _row(self, key: tuple, status: str, times: tuple) -> tuple:
+        return (key[0], status, len(times), *times, *[None] * (len(self.rows) - len(times)))
+
+    def on_ready(self, key, ready, watermark):
+        n = len(self.rows)
+        waits: list[list[tuple]] = [[] for _ in range(n)]  # by the number of rows found
+        for reached, *times in (self.partial.get() if self.partial.exists() else ()):
+            waits[reached].append(tuple(times[:reached]))
+        out: list[tuple] = []
+        for ms, _, kind in ready:
+            moved: list[tuple[int, list[tuple]]] = []
+            for i in range(1, n):
+                kinds, strict = self.rows[i]
+                if not waits[i] or not (kind in kinds or strict):
+                    continue
+                out += [self._row(key, "timeout", m) for m in waits[i] if ms - m[0] >= self.within_ms]
+                if kind in kinds:
+                    moved.append((i + 1, [(*m, ms) for m in waits[i] if ms - m[0] < self.within_ms]))
+                waits[i] = []
+            if kind in self.rows[0][0]:
+                moved.append((1, [(ms,)]))
+            for reached, grown in moved:
+                if reached == n:
+                    out += [self._row(key, "matched", m) for m in grown]
+                else:
+                    waits[reached] += grown
+        out += [self._row(key, "timeout", m) for wait in waits for m in wait if m[0] + self.within_ms <= watermark]
+        left = [(i, *m, *[0] * (n - i)) for i, wait in enumerate(waits) for m in wait if m[0] + self.within_ms > watermark]
+        self.partial.put(left) if left else self.partial.clear()
+        return out, min((r[1] + self.within_ms for r in left), default=None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        for pdf in super().handleExpiredTimer(key, timerValues, expiredTimerInfo):
+            yield pdf.astype({f"t{i + 1}": "Int64" for i in range(len(self.rows))})
+
+
+class LivingCounts(EventTimeProcessor):
+    """Counters of a key that live for a time after their last touch; see ``state_life``.
+
+    ``roles`` says of each kind of row which counter it touches and whether it writes.  Each
+    counter is an entry of map state with its last touch; the earliest end of a life is the
+    one timer, and what has ended by then is removed, so state holds live counters only.
+    """
+
+    OUT = "seq long, user_id long, entry string, value long"
+
+    def __init__(self, roles: dict[str, tuple[str, bool]], ttl_ms: int, refresh: str = "read_write") -> None:
+        self.roles, self.ttl_ms, self.refresh = roles, ttl_ms, refresh
+
+    def open(self) -> None:
+        self.entries = self.handle.getMapState("entries", "entry string", "touched long, value long")
+
+    def on_ready(self, key, ready, watermark):
+        old = {k[0]: tuple(v) for k, v in self.entries.iterator()} if self.entries.exists() else {}
+        live, out = dict(old), []
+        for ms, seq, kind in ready:
+            if kind not in self.roles:
+                continue
+            entry, writes = self.roles[kind]
+            touched, value = live.get(entry, (None, 0))
+            if touched is None or ms - touched >= self.ttl_ms:
+                value = 0
+                live.pop(entry, None)
+            if writes:
+                value += 1
+            if writes or (value and self.refresh == "read_write"):
+                live[entry] = (ms, value)
+            out.append((seq, key[0], entry, value))
+        live = {e: t for e, t in live.items() if t[0] + self.ttl_ms > watermark}
+        for entry in old.keys() - live.keys():
+            self.entries.removeKey((entry,))
+        for entry, state in live.items():
+            if old.get(entry) != state:
+                self.entries.updateValue((entry,), state)
+        return out, min((t + self.ttl_ms for t, _ in live.values()), default=None)
+
+
 class FollowedBy(EventTimeProcessor):
     """Each ``first`` row waits for the next ``second`` row; its deadline is a timer."""
 
