@@ -72,9 +72,7 @@ def approx_unique_visitors(df: DataFrame, size_ms: int, user: str = "user_id", r
 
 def views_per_visitor(df: DataFrame, size_ms: int, slide_ms: int, user: str = "user_id") -> DataFrame:
     """Page views per unique visitor over sliding windows of the whole stream."""
-    per_user = windows.sliding_counts(df, [user], size_ms, slide_ms)
-    return (per_user.groupBy("window_start", "window_end")
-            .agg(F.sum("cnt").alias("pv"), F.count(F.lit(1)).alias("uv"))
+    return (windows.sliding_distinct(df, user, size_ms, slide_ms)
             .withColumn("pv_uv", F.round(F.col("pv") / F.col("uv"), 6)))
 
 

@@ -59,34 +59,54 @@ def time_slot(ms: Column, width: int) -> Column:
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ms: str, right_ms: str,
-                  lower_ms: int, upper_ms: int) -> DataFrame:
-    """Pairs with equal key and ``right`` in [left + lower, left + upper], both ends in.
+                  lower_ms: int, upper_ms: int, how: str = "inner") -> DataFrame:
+    """Pairs with equal key and ``right`` in [left + lower, left + upper], both ends in; with
+    ``how="full_outer"`` also the rows of both sides that have no partner.
 
     Time is cut into slots as wide as the interval.  A right row lies in one slot and a left
-    row looks into at most two, so each pair is found once and (key, slot) is the join key.
+    row looks into at most two, so each pair is found once and (key, slot) is the join key,
+    which spreads a hot key over its time.  A right row without a partner comes out of its one
+    slot; a left row is without one if it comes out alone of every slot that it looked into,
+    which is counted over these rows only.
     """
     width = max(upper_ms - lower_ms, 1)
     l_ms, r_ms = F.col(left_ms), F.col(right_ms)
-    probes = left.withColumn("_slot", F.explode(
-        F.sequence(time_slot(l_ms + lower_ms, width), time_slot(l_ms + upper_ms, width))))
-    hits = right.withColumn("_slot", time_slot(r_ms, width))
-    return (probes.join(hits, [key, "_slot"])
-            .where(r_ms.between(l_ms + lower_ms, l_ms + upper_ms)).drop("_slot"))
+    slots = F.sequence(time_slot(l_ms + lower_ms, width), time_slot(l_ms + upper_ms, width))
+    in_time = r_ms.between(l_ms + lower_ms, l_ms + upper_ms)
+    if how == "inner":
+        probes = left.withColumn("_slot", F.explode(slots))
+        hits = right.withColumn("_slot", time_slot(r_ms, width))
+        return probes.join(hits, [key, "_slot"]).where(in_time).drop("_slot")
+    if how != "full_outer":
+        raise ValueError("how is inner or full_outer")
+    # A row without a time has no slot, and one without a key or a time has no partner.
+    probes = (left.withColumn("_slots", F.when(l_ms.isNotNull(), slots).otherwise(F.array(F.lit(None).cast("bigint"))))
+              .withColumn("_slot", F.explode("_slots")).withColumn("_looked", F.size("_slots")).drop("_slots")
+              .withColumnRenamed(key, "_left_key").withColumnRenamed("_slot", "_left_slot"))
+    hits = (right.withColumn("_right_slot", time_slot(r_ms, width)).withColumnRenamed(key, "_right_key")
+            .withColumn("_is_right", F.lit(True)))
+    joined = probes.join(hits, (F.col("_left_key") == F.col("_right_key"))
+                         & (F.col("_left_slot") == F.col("_right_slot")) & in_time, "full_outer")
+    others_l, others_r = ([c for c in side.columns if c != key] for side in (left, right))
+    met = joined.where("_is_right").select(F.coalesce("_left_key", "_right_key").alias(key), *others_l, *others_r)
+    left_alone = (joined.where("_is_right is null").groupBy("_left_key", *others_l, "_looked")
+                  .agg(F.count(F.lit(1)).alias("_alone"), F.count_distinct(F.coalesce("_left_slot", F.lit(0))).alias("_slots"))
+                  .where("_slots = _looked")
+                  .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.expr("cast(_alone div _looked as int)")))))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in right.dtypes if c != key]
+    return met.unionByName(left_alone.select(F.col("_left_key").alias(key), *others_l, *nothing))
 
 
 def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, third_wait_ms: int) -> DataFrame:
     """Match two payment logs by order; a row left alone after its wait becomes an alert.
 
-    Inputs are (key, app_ms) and (key, third_ms), one row per order.  The earlier row waits
-    for the later: an app row ``app_wait_ms``, a third-party row ``third_wait_ms``.
+    Inputs are (key, app_ms) and (key, third_ms), with any number of rows for a key.  The earlier
+    row waits for the later: an app row ``app_wait_ms``, a third-party row ``third_wait_ms``.
     """
-    in_time = (F.col("third_ms") - F.col("app_ms")).between(-third_wait_ms, app_wait_ms)
-    a, t = app.alias("a"), third.alias("t")
-    joined = a.join(t, (F.col(f"a.{key}") == F.col(f"t.{key}")) & in_time, "full_outer")
+    joined = interval_join(app, third, key, "app_ms", "third_ms", -third_wait_ms, app_wait_ms, "full_outer")
     status = (F.when(F.col("third_ms").isNull(), "third_missing")
               .when(F.col("app_ms").isNull(), "app_missing").otherwise("matched"))
-    return joined.select(F.coalesce(F.col(f"a.{key}"), F.col(f"t.{key}")).alias(key),
-                         "app_ms", "third_ms", status.alias("status"))
+    return joined.select(key, "app_ms", "third_ms", status.alias("status"))
 
 
 def history_join(df: DataFrame, key: str, is_left: Column, order: Sequence[str] = ("seq",),

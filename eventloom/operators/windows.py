@@ -88,6 +88,42 @@ def sliding_counts(df: DataFrame, keys: Sequence[str], size_ms: int, slide_ms: i
     )
 
 
+def sliding_distinct(df: DataFrame, key: str, size_ms: int, slide_ms: int, ts_ms: str = "ts_ms",
+                     rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Rows (``pv``) and distinct keys (``uv``) of every sliding window that is not empty, exact.
+
+    A row is never copied to its windows.  A key that comes in pane p and came last in pane q is
+    new to the windows that begin after q and still hold p, which is one range of windows; each
+    range adds one where it begins and takes it away where it ends, and a running sum over these
+    changes, two or three numbers for each pane, gives the counts.  So the work does not depend
+    on how many windows a row is in.
+    """
+    if size_ms % slide_ms:
+        raise ValueError("the size must be a multiple of the slide")
+    panes = size_ms // slide_ms
+    number = F.floor(F.col("pane") / slide_ms).cast("bigint")
+    visits = pane_counts(df, [key], slide_ms, ts_ms).select(key, number.alias("_p"), "n")
+    seen = neighbourhood(visits, [key], ["_p"], 1, lambda w: {"_q": F.lag("_p", 1).over(w)}, rows_per_chunk=rows_per_chunk)
+    first, after = F.col("_p") - (panes - 1), F.col("_p") + 1
+    none = F.lit(0).cast("bigint")
+
+    def change(at: Column, users: Column, rows: Column) -> Column:
+        return F.struct(at.alias("w"), users.alias("u"), rows.alias("n"))
+
+    one = F.lit(1).cast("bigint")
+    changes = F.array(change(F.greatest(first, F.col("_q") + 1), one, none), change(first, none, F.col("n")),
+                      change(after, -one, -F.col("n")))
+    steps = seen.select(F.explode(changes).alias("c")).groupBy(F.col("c.w").alias("w")).agg(
+        F.sum("c.u").alias("u"), F.sum("c.n").alias("n"))
+    # One row for each pane at which a count changes; in between the counts hold.
+    line = chunk_rows(steps, [], ["w"], rows_per_chunk)
+    summed = running(line, [], ["w"], {"uv": ("sum", F.col("u")), "pv": ("sum", F.col("n"))})
+    held = running(summed, [], ["w"], {"until": ("min", F.col("w"))}, inclusive=False, reverse=True)
+    start = F.col("at") * slide_ms
+    return (uncut(held).where("uv > 0").withColumn("at", F.explode(F.sequence(F.col("w"), F.col("until") - 1)))
+            .select(start.alias("window_start"), (start + size_ms).alias("window_end"), "pv", "uv"))
+
+
 def cumulating_counts(df: DataFrame, keys: Sequence[str], size_ms: int, step_ms: int,
                       ts_ms: str = "ts_ms") -> DataFrame:
     """Counts per cumulating window and key, from one count per step."""

@@ -90,26 +90,37 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, lower_ms: int, up
                   delay_ms: int = 0, how: str = "inner") -> DataFrame:
     """Stream-stream join with ``right_ts`` in [left + lower, left + upper].
 
-    The range condition and both watermarks bound the join state.  As in the batch form, an
-    inner join also has the time slot in its key: a right row lies in one slot, a left row
-    looks into at most two, and a hot key is spread over slots.  An outer join has the key
-    alone, since a copy without a partner would come out as a row of its own.
+    The range condition and both watermarks bound the join state.  As in the batch form, the
+    time slot is part of the join key, so a hot key is spread over slots: one side lies in one
+    slot and the other looks into at most two.  The side in one slot comes out alone exactly if
+    it has no partner, so a full outer join is a left outer join, in which the right rows look
+    into slots, and the right rows that come out alone of a join the other way round.
     """
     l = watermarked(left, delay_ms, "left_ts").withColumnRenamed(key, "_left_key")
     r = watermarked(right, delay_ms, "right_ts").withColumnRenamed(key, "_right_key")
-    slots = "true"
-    if how == "inner":
-        width = max(upper_ms - lower_ms, 1)
-        ms = F.unix_millis("left_ts")
-        l = l.withColumn("_left_slot", F.explode(F.sequence(
-            joins.time_slot(ms + lower_ms, width), joins.time_slot(ms + upper_ms, width))))
-        r = r.withColumn("_right_slot", joins.time_slot(F.unix_millis("right_ts"), width))
-        slots = "_left_slot = _right_slot"
-    cond = F.expr(f"""_left_key = _right_key AND {slots}
+    width = max(upper_ms - lower_ms, 1)
+    l_ms, r_ms = F.unix_millis("left_ts"), F.unix_millis("right_ts")
+    cond = F.expr(f"""_left_key = _right_key AND _left_slot = _right_slot
         AND right_ts >= left_ts + INTERVAL {lower_ms} MILLISECONDS
         AND right_ts <= left_ts + INTERVAL {upper_ms} MILLISECONDS""")
-    return (l.join(r, cond, how).withColumn(key, F.coalesce("_left_key", "_right_key"))
-            .drop("_left_key", "_right_key", "_left_slot", "_right_slot"))
+
+    def joined(ls, rs, kind: str) -> DataFrame:
+        sides = l.withColumn("_left_slot", ls), r.withColumn("_right_slot", rs)
+        return (sides[0].join(sides[1], cond, kind).withColumn(key, F.coalesce("_left_key", "_right_key"))
+                .drop("_left_key", "_right_key", "_left_slot", "_right_slot"))
+
+    def slot(ms):
+        return joins.time_slot(ms, width)
+
+    if how == "inner" or how == "right_outer":
+        return joined(F.explode(F.sequence(slot(l_ms + lower_ms), slot(l_ms + upper_ms))), slot(r_ms), how)
+    met = joined(slot(l_ms + lower_ms), F.explode(F.sequence(slot(r_ms - width), slot(r_ms))), "left_outer")
+    if how == "left_outer":
+        return met
+    if how != "full_outer":
+        raise ValueError("how is inner, left_outer, right_outer or full_outer")
+    alone = interval_join(left, right, key, lower_ms, upper_ms, delay_ms, "right_outer").where("left_ts is null")
+    return met.unionByName(alone)
 
 
 def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, third_wait_ms: int,
