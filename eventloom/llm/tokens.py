@@ -20,8 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 KEPT_BYTES = 32_000_000
-SLICE_BYTES = 4_000_000
-_GATHERED = 1 << 18  # chunks whose ids are gathered at once
+SLICE_BYTES = 2_000_000
+_GATHERED = 1 << 16  # chunks whose ids are gathered at once
 _CALL = 4096  # units of a library call
 
 # A blank at the start or end, or before more white space of Unicode (and the separators
@@ -153,6 +153,7 @@ class Coder:
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[memoryview]:
         """The ids of each text, null being empty; for texts that fit in memory some ten times."""
+        pa.default_memory_pool().release_unused()  # what earlier slices needed
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
         texts = pc.fill_null(texts, "")
