@@ -162,6 +162,19 @@ def sessions(df: DataFrame, keys: Sequence[str], gap_ms: int, order: Sequence[st
     )
 
 
+def merged_sessions(parts: DataFrame, keys: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Sessions from partial ones of the same gap (keys, window_start, window_end, cnt), in any
+    order: those that touch or overlap are one."""
+    order = ["window_start", "window_end"]
+    rows = chunk_rows(parts, keys, order, rows_per_chunk)
+    seen = running(rows, keys, order, {"_upto": ("max", F.col("window_end"))}, inclusive=False)
+    opens = F.col("_upto").isNull() | (F.col("window_start") > F.col("_upto"))
+    numbered = running(seen.withColumn("_new", opens.cast("bigint")), keys, order, {"_session": ("sum", F.col("_new"))})
+    return (numbered.groupBy(*keys, "_session")
+            .agg(F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end"),
+                 F.sum("cnt").alias("cnt")).drop("_session"))
+
+
 def count_windows(df: DataFrame, keys: Sequence[str], size: int, slide: int, value: str,
                   order: Sequence[str] = ("seq",), rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Count windows: at every ``slide``-th row of a key, reduce its last ``size`` rows."""

@@ -62,6 +62,16 @@ def stream_rules_as_of(spark, sf):
     return replay(spark, rules_job, events_path(sf), order="event_id", step=kept.arriving_rules("user_id")).drop("batch_id")
 
 
+# ---- sessions of a hot key ----------------------------------------------------------------
+
+
+@stream_query("stream_session_parts", same("session_count"))
+def stream_session_parts(spark, sf):
+    """Sessions from partial ones, so that no task has all rows of a key."""
+    return replay(spark, lambda s: s.select("seq", "user_id", "ts_ms"), events_path(sf), closing=END,
+                  step=kept.sessions("user_id", 8 * HOUR)).drop("batch_id")
+
+
 # ---- an updating top-N and leader ---------------------------------------------------------
 
 

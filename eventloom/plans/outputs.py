@@ -8,7 +8,7 @@ from eventloom.functions import scalar
 from eventloom.operators import elementwise
 from eventloom.plans.catalog import ORACLES, query
 from eventloom.session import stream_session, work_dir
-from eventloom.sinks import shaping, writers
+from eventloom.sinks import committed, shaping, writers
 from eventloom.sources import files
 from eventloom.sources.tables import clicks, table
 from eventloom.streaming.replay import click_stream, events_path, finish
@@ -27,6 +27,27 @@ def sink_text(spark, sf):
     return spark.read.text(f"{folder}/out").withColumnRenamed("value", "line")
 
 
+@query("sink_rolling_files", f"SELECT line FROM ({ORACLES['event_string']})", "")
+def sink_rolling_files(spark, sf):
+    """Event text through the sink that rolls by bytes."""
+    folder = work_dir(spark, "rolling")
+    lines = click_stream(stream_session(spark), events_path(sf)).select(_event_text().alias("value"))
+    finish(writers.rolling_files(lines, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.text(f"{folder}/out").select(F.col("value").alias("line"))
+
+
+@query("sink_cells", ORACLES["cell_puts"], "")
+def sink_cells(spark, sf):
+    """Cells of a wide-column store through a sink with a commit protocol; the last batch of a cell counts."""
+    folder = work_dir(spark, "cells")
+    cells = click_stream(stream_session(spark), events_path(sf)).select(
+        F.col("user_id").cast("string").alias("row_key"), F.lit("info").alias("family"), F.col("url").alias("qualifier"),
+        F.lit("1").alias("cell"))
+    store = committed.JsonFolder(f"{folder}/store")
+    finish(committed.writer(cells, store, f"{folder}/checkpoint"))
+    return store.read(spark, "row_key string, family string, qualifier string, cell string").distinct()
+
+
 @query("sink_csv", "SELECT user_id AS url, url AS user_name FROM clicks")
 def sink_csv(spark, sf):
     """A positional insert of (user_id, url) into a table declared (url, user_name)."""

@@ -6,10 +6,13 @@ a failure replaces what its first run wrote.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +29,34 @@ def rolling_text(lines: DataFrame, path: str, checkpoint: str, *, every: str = "
             .trigger(processingTime=every))
 
 
+def rolled(lines: DataFrame, max_bytes: int, column: str = "value") -> DataFrame:
+    """Add ``roll``: the lines of a task in order, cut where ``max_bytes`` are reached.
+
+    A running sum of the bytes of each line and its end, batch by batch and without a shuffle,
+    says which file of its task a line goes to, so no file is longer than the bound and one line.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for batch in batches:
+            sizes = pc.add(pc.fill_null(pc.binary_length(batch.column(0)), 0).cast(pa.int64()), 1)
+            starts = pc.add(pc.subtract(pc.cumulative_sum(sizes), sizes), before)
+            before += pc.sum(sizes).as_py() or 0
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.divide(starts, max_bytes)], [column, "roll"])
+
+    return lines.select(column).mapInArrow(run, f"{column} string, roll bigint")
+
+
+def rolling_files(lines: DataFrame, path: str, checkpoint: str, *, every: str = "5 minutes",
+                  max_bytes: int = 1 << 30) -> DataStreamWriter:
+    """Text files that roll by bytes and by time.  A micro-batch finishes its files, so none is
+    open for longer than ``every``, be the stream idle or busy; one that runs again after a
+    failure replaces what its first run wrote."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (rolled(batch, max_bytes).write.mode("overwrite").partitionBy("roll").text(f"{path}/batch_id={batch_id}"))
+
+    return (lines.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=every).foreachBatch(write))
+
+
 def write_text(lines: DataFrame, path: str, max_records: int = 10_000_000) -> None:
     lines.write.option("maxRecordsPerFile", max_records).text(path)
 
@@ -86,7 +117,8 @@ class KeyedTable:
 
     Each micro-batch adds its newest row per key to a log, so a write costs as much as the
     batch, not as the table.  Reading takes the newest row per key of the last snapshot and
-    the log after it; :meth:`compact` writes a new snapshot.
+    the log after it; :meth:`compact` writes a new snapshot aside and then publishes where it
+    is, in one file, so a reader sees all of it or none.
     """
 
     root: str
@@ -105,12 +137,15 @@ class KeyedTable:
         columns = [self.key, self.value, *self.version]
         log = spark.read.parquet(f"{self.root}/log")
         try:
-            snapshots = spark.read.parquet(f"{self.root}/snapshots")
+            last = spark.read.schema("upto long, folder string").parquet(f"{self.root}/published").agg(
+                F.max(F.struct("upto", "folder"))).first()[0]
         except AnalysisException:
+            last = None
+        if last is None:
             return log.select(*columns), -1
-        upto = snapshots.agg(F.max("upto")).first()[0]
-        newer = log.where(F.col("batch_id") > upto).select(*columns)
-        return snapshots.where(F.col("upto") == upto).select(*columns).unionByName(newer), upto
+        snapshot = spark.read.parquet(f"{self.root}/snapshots/{last['folder']}")
+        newer = log.where(F.col("batch_id") > last["upto"]).select(*columns)
+        return snapshot.select(*columns).unionByName(newer), last["upto"]
 
     def latest(self, spark: SparkSession) -> DataFrame:
         return shaping.latest_per_key(self._parts(spark)[0], self.key, self.value, *self.version)
@@ -118,4 +153,7 @@ class KeyedTable:
     def compact(self, spark: SparkSession) -> None:
         done = spark.read.parquet(f"{self.root}/log").agg(F.max("batch_id")).first()[0]
         if done > self._parts(spark)[1]:
-            self.latest(spark).write.mode("overwrite").parquet(f"{self.root}/snapshots/upto={done}")
+            folder = uuid.uuid4().hex
+            self.latest(spark).write.parquet(f"{self.root}/snapshots/{folder}")
+            (spark.createDataFrame([(done, folder)], "upto long, folder string").coalesce(1)
+             .write.mode("append").parquet(f"{self.root}/published"))

@@ -3,7 +3,7 @@
 Each works on what a keyed job emitted (:func:`eventloom.streaming.replay.replay` with ``step``),
 in arrival order, by the batch operator, so that the result is that of the batch form for any
 number of micro-batches.  What is carried is bounded by the operator, not by the stream: rules
-that hold, one leader, a head of n keys, a few numbers for each input.
+that hold, one leader, a head of n keys, a few numbers for each input, open sessions.
 
 A step reads what micro-batch ``n - 1`` left in the shared folder and writes its own ``n``, so
 one that runs again after a failure gives the same rows.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators import lateness, ranking, rules
+from eventloom.operators import lateness, ranking, rules, windows
 from eventloom.operators.lateness import InputsSoFar
 from eventloom.operators.ordered import running
 from eventloom.streaming.late import Step
@@ -87,6 +87,27 @@ def arriving_rules(key: str) -> Step:
     return step
 
 
+def sessions(key: str, gap_ms: int) -> Step:
+    """Sessions of a key when the watermark, the newest time so far, has passed their end.
+
+    The rows of a micro-batch are made to partial sessions by the batch operator, which cuts
+    a hot key into stretches, and joined with the open sessions that are carried, one row for
+    each key that was seen within the gap.  Micro-batches follow the time of the rows.
+    """
+    schema = f"{key} long, window_start long, window_end long, cnt long"
+
+    def step(batch: DataFrame, batch_id: int, folder: str) -> DataFrame:
+        rows = _written(batch, f"{folder}/rows/{batch_id}")
+        old = _carried(batch.sparkSession, f"{folder}/open", batch_id, schema)
+        own = windows.sessions(rows, [key], gap_ms).select(key, "window_start", "window_end", "cnt")
+        merged = _written(windows.merged_sessions(own.unionByName(old), [key]), f"{folder}/merged/{batch_id}")
+        newest = rows.agg(F.max("ts_ms")).first()[0]
+        closed = F.lit(False) if newest is None else F.col("window_end") < newest
+        merged.where(~closed).select(*old.columns).write.mode("overwrite").parquet(f"{folder}/open/{batch_id}")
+        return merged.where(closed)
+    return step
+
+
 def lowest_watermark(inputs: int, bound_ms: int, idle_rows: int) -> Step:
     """The watermark of a union after each row, as ``lateness.union_watermark``; carried are the
     number of rows, two numbers for each input and the watermark."""
