@@ -130,7 +130,8 @@ def top_n_changes(counted: DataFrame, key: str, n: int, *, start: Head = (), seq
                   rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """The changelog of a top-N over counts that rise: (seq, row_num, op, key, cnt).
 
-    ``counted`` has the count of a row's key after it (:func:`aggregates.running_count`).  After
+    ``counted`` has the count of a row's key, a number, after it (:func:`aggregates.running_count`);
+    rows without a key have no rank.  After
     each row the ranks that changed come out: ``+I`` for a rank that is filled, ``-U`` and ``+U``
     for one that changes.  ``start`` is the head before the first row.
 
@@ -138,7 +139,8 @@ def top_n_changes(counted: DataFrame, key: str, n: int, *, start: Head = (), seq
     heads of the stretches themselves, at most n rows each, so all stretches run in parallel.
     """
     start = list(start)
-    rows = chunk_rows(counted.select(F.col(seq).alias("seq"), F.col(key).cast("bigint").alias("key"), "cnt"),
+    known = counted.where(F.col(key).isNotNull())
+    rows = chunk_rows(known.select(F.col(seq).alias("seq"), F.col(key).cast("bigint").alias("key"), "cnt"),
                       [], ["seq"], rows_per_chunk)
     own = own_heads(rows, ["_chunk"], "key", n).groupBy("_chunk").agg(F.sort_array(F.collect_list(F.struct(
         F.col("row_num"), "cnt", "key"))).alias("own"))

@@ -20,7 +20,7 @@ from eventloom.streaming.replay import CLOSING_AFTER, append_to_table, events_pa
 # A kind that passes the filters of all jobs below which close something at the end.
 END = "click"
 # Parts of a key whose rows are counted apart.
-SALTS = 16
+SALTS = 4
 
 
 def same(batch_query: str) -> str:
@@ -211,7 +211,7 @@ def stream_restart(spark, sf):
     lost or counted again."""
     third = -(-table(spark, sf, "events").count() // 3)
     return replay(spark, lambda s: jobs.stateful(s.select("seq", "user_id"), "user_id", processors.CountChangelog()),
-                  events_path(sf), order="event_id", rows_per_slice=max(third, 1))
+                  events_path(sf), order="event_id", rows_per_slice=max(third, 1), restarts=True)
 
 
 @stream_query("stream_broadcast_rules", same("broadcast_rules"))

@@ -60,7 +60,8 @@ def head_changes(key: str, n: int) -> Step:
         rows = _written(batch, f"{folder}/rows/{batch_id}")
         old = _carried(batch.sparkSession, f"{folder}/head", batch_id, schema)
         start = sorted(((r["cnt"], r[key]) for r in old.collect()), key=lambda h: (-h[0], h[1]))  # at most n rows
-        (ranking.own_heads(rows.select(key, "cnt").unionByName(old), [], key, n).select(key, "cnt")
+        counts = rows.where(F.col(key).isNotNull()).select(key, "cnt").unionByName(old)
+        (ranking.own_heads(counts, [], key, n).select(key, "cnt")
          .write.mode("overwrite").parquet(f"{folder}/head/{batch_id}"))
         return ranking.top_n_changes(rows, key, n, start=start)
     return step

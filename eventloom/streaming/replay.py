@@ -53,23 +53,54 @@ def batches_to_table(df: DataFrame, out: str, checkpoint: str, mode: str,
 
 
 ROWS_PER_SLICE = 20_000_000
+# Up to here a table that gets a closing row is copied into one file.
+ROWS_PER_FILE = 1_000_000
 # How far the closing row lies past the newest event; longer than any window, gap or wait.
 CLOSING_AFTER = timedelta(days=3650)
 
 
+def _in_order(spark: SparkSession, folder: str) -> bool:
+    """Give the files of a folder, by name, rising modification times, the order in which a
+    file stream takes them; false where the store cannot."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted((f.getPath().getName(), f.getPath(), f.getModificationTime()) for f in fs.listStatus(path)
+                   if f.getPath().getName().startswith("part-"))
+    first = max((t for _, _, t in found), default=0) // 1000 * 1000 - 1000 * len(found)
+    for i, (_, file, _) in enumerate(found):
+        fs.setTimes(file, first + 1000 * i, -1)
+    return all(fs.getFileStatus(file).getModificationTime() == first + 1000 * i for i, (_, file, _) in enumerate(found))
+
+
+def _laid_out(stored: DataFrame, folder: str, slices: int, order: str | Column, closing: DataFrame | None) -> bool:
+    """One file for each slice of the rows, in ``order``, and one for the closing row, as a
+    stream can take them one by one; false where the store cannot keep their order."""
+    spark = stored.sparkSession
+    cut = stored.repartitionByRange(slices, order) if slices > 1 else stored.coalesce(1)
+    cut.write.parquet(folder)
+    if not _in_order(spark, folder):
+        return False
+    if closing is not None:
+        closing.coalesce(1).write.mode("append").parquet(folder)  # newer than all others
+    return True
+
+
 def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str, *,
            files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, order: str | Column = "ts",
            mode: str = "append", closing: str | None = None, shape: Callable[[DataFrame], DataFrame] | None = None,
-           step: Callable[[DataFrame, int, str], DataFrame] | None = None) -> DataFrame:
+           step: Callable[[DataFrame, int, str], DataFrame] | None = None, restarts: bool = False) -> DataFrame:
     """Run ``job`` over the click stream at ``path`` and return what it emitted.
 
     A keyed processor sees all rows that a micro-batch has for a key at once, so the size of
     a micro-batch bounds its memory whatever the key skew.  With ``files_per_batch`` the
     stored files must be in time order and are taken that many at a time.  Otherwise a table
-    above ``rows_per_slice`` rows is first laid out in slices of about that size, and the
-    stream goes on from its checkpoint slice by slice; a smaller one is one micro-batch.
+    above ``rows_per_slice`` rows is first laid out, by one job, as a file for each slice of about
+    that size, and one stream takes them one by one; a smaller one is one micro-batch.
     Slices follow ``order``: ``ts`` for event-time jobs, so that no row is late, and
     ``event_id`` for arrival jobs, so that rows come in the order in which they arrived.
+    With ``restarts``, or where the store cannot keep the order of files, slices are added one
+    after the other, and the stream is started anew for each and goes on from its checkpoint.
 
     The input is finite, so with ``closing`` a row of that kind, far past the newest event,
     follows in a micro-batch of its own.  It lifts the watermark past every window, session,
@@ -83,13 +114,11 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
     appends = mode == "append" and shape is None and step is None
     folder = work_dir(spark, "replay")
     out, checkpoint, end = f"{folder}/out", f"{folder}/checkpoint", f"{folder}/closing"
-    if closing is not None:
-        spark.createDataFrame([], EVENTS_SCHEMA).write.parquet(end)
 
-    def start(source: str) -> DataFrame:
-        stream = click_stream(session, source, files_per_batch)
-        if closing is not None:
-            stream = stream.unionByName(click_stream(session, end))
+    def start(source: str, files: int | None, more: str | None = None) -> DataFrame:
+        stream = click_stream(session, source, files)
+        if more is not None:
+            stream = stream.unionByName(click_stream(session, more))
         result = job(stream)
         if appends:
             finish(append_to_table(result, out, checkpoint))
@@ -99,23 +128,30 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
 
     stored = spark.read.schema(EVENTS_SCHEMA).parquet(path)
     rows, newest = stored.agg(F.count("*"), F.max("ts")).first()
-    slices = 1 if files_per_batch else -(-rows // rows_per_slice)
-    source = path
-    if slices <= 1:
-        result = start(source)
-    else:
-        stage, source = f"{folder}/stage", f"{folder}/source"
-        (stored.repartitionByRange(slices, order).withColumn("slice", F.spark_partition_id())
-         .write.partitionBy("slice").parquet(stage))
-        present = sorted(r[0] for r in spark.read.parquet(stage).select("slice").distinct().collect())
-        for i in present:
-            (spark.read.schema(EVENTS_SCHEMA).parquet(f"{stage}/slice={i}")
-             .write.mode("append").parquet(source))
-            result = start(source)
+    last = None
     if closing is not None and newest is not None:
-        last = [(-1, newest + CLOSING_AFTER, -1, closing, None, None)]
-        spark.createDataFrame(last, EVENTS_SCHEMA).write.mode("append").parquet(end)
-        result = start(source)
+        last = spark.createDataFrame([(-1, newest + CLOSING_AFTER, -1, closing, None, None)], EVENTS_SCHEMA)
+    slices = 1 if files_per_batch else max(1, -(-rows // rows_per_slice))
+    copied = not files_per_batch and not restarts and (slices > 1 or (last is not None and rows <= ROWS_PER_FILE))
+    if copied and _laid_out(stored, f"{folder}/source", slices, order, last):
+        result = start(f"{folder}/source", 1)
+    else:
+        more = end if last is not None else None
+        if more is not None:
+            spark.createDataFrame([], EVENTS_SCHEMA).write.parquet(end)
+        if slices == 1:
+            source, result = path, start(path, files_per_batch, more)
+        else:
+            stage, source = f"{folder}/stage", f"{folder}/grown"
+            (stored.repartitionByRange(slices, order).withColumn("slice", F.spark_partition_id())
+             .write.partitionBy("slice").parquet(stage))
+            for i in sorted(r[0] for r in spark.read.parquet(stage).select("slice").distinct().collect()):
+                (spark.read.schema(EVENTS_SCHEMA).parquet(f"{stage}/slice={i}")
+                 .write.mode("append").parquet(source))
+                result = start(source, None, more)
+        if last is not None:
+            last.write.mode("append").parquet(end)
+            result = start(source, files_per_batch, more)
     if appends:
         return spark.read.schema(result.schema).parquet(out)
     return spark.read.parquet(out)

@@ -1,5 +1,7 @@
 """Registered queries against their SQL, and the shape of their plans."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -32,6 +34,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL) - set(entry.LLM_ORACLES)
 
 
+def test_a_missing_optional_package_leaves_the_rest():
+    code = ("import sys, warnings; sys.modules['ahocorasick'] = None; warnings.simplefilter('ignore'); "
+            "import __spark_entry__ as e; assert not e.LLM_QUERIES and len(e.queries()) == len(e.QUERIES) > 130")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parent.parent)
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["window_start", "window_end", "url", "cnt", "row_num"] and df.count() > 0
