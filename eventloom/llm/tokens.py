@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 KEPT_BYTES = 32_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 3_000_000
 _GATHERED = 1 << 16  # chunks whose ids are gathered at once
 _CALL = 4096  # units of a library call
 
@@ -111,14 +111,17 @@ class Coder:
 
     def _units(self, units: pa.Array) -> Ragged:
         """The ids of distinct units."""
-        at = pc.index_in(units, value_set=self.known)
-        missed = pc.is_null(at)
-        index = pc.fill_null(at, 0).to_numpy().astype(np.int64)
-        wanted = units.filter(missed)
+        # The units of the slice are the smaller table, so the kept ones are looked up in them.
+        at = pc.index_in(self.known, value_set=units)
+        met = np.flatnonzero(pc.is_valid(at).to_numpy(zero_copy_only=False))
+        index = np.full(len(units), -1, np.int64)
+        index[pc.drop_null(at).to_numpy()] = met
+        missed = index < 0
+        wanted = units.filter(pa.array(missed))
         rows = self.rows
         if len(wanted):
             rows = rows.then(self.new(wanted))
-            index[missed.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(wanted))
+            index[missed] = len(self.known) + np.arange(len(wanted))
         own = rows.take(index)
         if len(wanted):
             known = pa.concat_arrays([self.known, wanted])
