@@ -142,15 +142,21 @@ def top_n_changes(counted: DataFrame, key: str, n: int, *, start: Head = (), seq
     known = counted.where(F.col(key).isNotNull())
     rows = chunk_rows(known.select(F.col(seq).alias("seq"), F.col(key).cast("bigint").alias("key"), "cnt"),
                       [], ["seq"], rows_per_chunk)
+    out = "seq bigint, row_num bigint, op string, key bigint, cnt bigint"
+    kind = "array<struct<cnt:bigint,key:bigint>>"
+    if dict(rows.dtypes)["_chunk"] == "int":  # a single stretch
+        line = rows.select("seq", "key", "cnt", F.lit(False).alias("opens"), F.lit(None).cast(kind).alias("head"))
+        whole = line.repartition(1).sortWithinPartitions("seq")
+        return whole.mapInArrow(_head_changes(n, start), out).withColumnRenamed("key", key)
     own = own_heads(rows, ["_chunk"], "key", n).groupBy("_chunk").agg(F.sort_array(F.collect_list(F.struct(
         F.col("row_num"), "cnt", "key"))).alias("own"))
     firsts = rows.groupBy("_chunk").agg(F.min("seq").alias("first"))
     # One row for each stretch, in order and in one task.
     w = Window.orderBy("_chunk")
     line = firsts.join(own, "_chunk").withColumn("_n", F.row_number().over(w)).select("first", "own")
-    before = line.mapInArrow(_heads_before(n, start), "first bigint, head array<struct<cnt:bigint,key:bigint>>")
+    before = line.mapInArrow(_heads_before(n, start), f"first bigint, head {kind}")
     opened = (rows.join(F.broadcast(before), F.col("seq") == F.col("first"), "left")
               .repartition("_chunk").sortWithinPartitions("_chunk", "seq"))
     changes = uncut(opened).select("seq", "key", "cnt", F.col("first").isNotNull().alias("opens"), "head").mapInArrow(
-        _head_changes(n, start), "seq bigint, row_num bigint, op string, key bigint, cnt bigint")
+        _head_changes(n, start), out)
     return changes.withColumnRenamed("key", key)
