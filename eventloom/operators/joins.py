@@ -97,16 +97,18 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ms: str, rig
     return met.unionByName(left_alone.select(F.col("_left_key").alias(key), *others_l, *nothing))
 
 
-def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, third_wait_ms: int) -> DataFrame:
+def reconcile(app: DataFrame, third: DataFrame, key: str, app_wait_ms: int, third_wait_ms: int,
+              keep: Sequence[str] = ()) -> DataFrame:
     """Match two payment logs by order; a row left alone after its wait becomes an alert.
 
     Inputs are (key, app_ms) and (key, third_ms), with any number of rows for a key.  The earlier
     row waits for the later: an app row ``app_wait_ms``, a third-party row ``third_wait_ms``.
+    ``keep`` names other columns of either side to come out with its rows.
     """
     joined = interval_join(app, third, key, "app_ms", "third_ms", -third_wait_ms, app_wait_ms, "full_outer")
     status = (F.when(F.col("third_ms").isNull(), "third_missing")
               .when(F.col("app_ms").isNull(), "app_missing").otherwise("matched"))
-    return joined.select(key, "app_ms", "third_ms", status.alias("status"))
+    return joined.select(key, "app_ms", "third_ms", status.alias("status"), *keep)
 
 
 def history_join(df: DataFrame, key: str, is_left: Column, order: Sequence[str] = ("seq",),

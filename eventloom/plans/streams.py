@@ -12,10 +12,9 @@ from eventloom.operators import elementwise, joins, patterns, ranking
 from eventloom.plans.catalog import CLICKS_SQL, DAY, HOUR, MINUTE, ORACLES, query
 from eventloom.plans.pairs import RELAXED_STEPS, STRICT_STEPS, login_kind, payment_logs, rule_table
 from eventloom.plans.rows import WRITERS
-from eventloom.session import stream_session, work_dir
 from eventloom.sources.tables import table, with_arrival
-from eventloom.streaming import jobs, late, processors
-from eventloom.streaming.replay import CLOSING_AFTER, append_to_table, events_path, finish, replay
+from eventloom.streaming import jobs, kept, late, processors
+from eventloom.streaming.replay import events_path, replay, replay_log
 
 # A kind that passes the filters of all jobs below which close something at the end.
 END = "click"
@@ -156,25 +155,12 @@ def stream_cogroup(spark, sf):
 
 @stream_query("stream_reconcile", same("reconcile"))
 def stream_reconcile(spark, sf):
+    """Both logs as one stream; rows that wait are carried between its micro-batches."""
     app, third = payment_logs(spark, sf)
-    folder = work_dir(spark, "reconcile")
-    app.select("order_id", F.timestamp_millis("app_ms").alias("left_ts")).write.parquet(f"{folder}/app")
-    third.select("order_id", F.timestamp_millis("third_ms").alias("right_ts")).write.parquet(f"{folder}/third")
-    session = stream_session(spark)
-    left = session.readStream.schema("order_id long, left_ts timestamp").parquet(f"{folder}/app")
-    right = session.readStream.schema("order_id long, right_ts timestamp").parquet(f"{folder}/third")
-    result = jobs.reconcile(left, right, "order_id", app_wait_ms=90 * DAY, third_wait_ms=30 * DAY)
-    finish(append_to_table(result, f"{folder}/out", f"{folder}/checkpoint"))
-    # The end of both logs: orders that are in neither, whose own wait never ends.
-    ends = [spark.read.parquet(f"{folder}/{log}").agg(F.max(ts)).first()[0]
-            for log, ts in (("app", "left_ts"), ("third", "right_ts"))]
-    newest = max((t for t in ends if t is not None), default=None)
-    if newest is not None:
-        for log, order_id, ts in (("app", -1, "left_ts"), ("third", -2, "right_ts")):
-            (spark.createDataFrame([(order_id, newest + CLOSING_AFTER)], f"order_id long, {ts} timestamp")
-             .write.mode("append").parquet(f"{folder}/{log}"))
-        finish(append_to_table(result, f"{folder}/out", f"{folder}/checkpoint"))
-    return spark.read.schema(result.schema).parquet(f"{folder}/out")
+    log = (app.select("order_id", F.lit("app").alias("side"), F.col("app_ms").alias("ms"))
+           .unionByName(third.select("order_id", F.lit("third").alias("side"), F.col("third_ms").alias("ms"))))
+    step = kept.reconciled("order_id", app_wait_ms=90 * DAY, third_wait_ms=30 * DAY)
+    return replay_log(spark, log, "ms", step, closing={"order_id": -1, "side": "app"}).drop("batch_id")
 
 
 # ---- keyed state -----------------------------------------------------------------------

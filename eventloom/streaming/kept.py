@@ -3,7 +3,8 @@
 Each works on what a keyed job emitted (:func:`eventloom.streaming.replay.replay` with ``step``),
 in arrival order, by the batch operator, so that the result is that of the batch form for any
 number of micro-batches.  What is carried is bounded by the operator, not by the stream: rules
-that hold, one leader, a head of n keys, a few numbers for each input, open sessions.
+that hold, one leader, a head of n keys, a few numbers for each input, open sessions, rows that
+still wait for a partner.
 
 A step reads what micro-batch ``n - 1`` left in the shared folder and writes its own ``n``, so
 one that runs again after a failure gives the same rows.
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators import lateness, ranking, rules, windows
+from eventloom.operators import joins, lateness, ranking, rules, windows
 from eventloom.operators.lateness import InputsSoFar
 from eventloom.operators.ordered import running
 from eventloom.streaming.late import Step
@@ -109,6 +110,44 @@ def sessions(key: str, gap_ms: int) -> Step:
     return step
 
 
+def reconciled(key: str, app_wait_ms: int, third_wait_ms: int) -> Step:
+    """Two payment logs matched as in ``joins.reconcile``; a row whose wait is over when the
+    watermark, the newest time so far, has passed its end comes out alone.
+
+    The micro-batch has rows (key, side, ms), where side is ``app`` or ``third``, and follows the
+    time of the rows.  Carried are the rows of both waits together: those that may still meet
+    a row, and those that such a row may have met before.
+    """
+    schema = f"{key} long, side string, ms long"
+
+    def step(batch: DataFrame, batch_id: int, folder: str) -> DataFrame:
+        spark = batch.sparkSession
+        rows = _written(batch.select(key, "side", "ms"), f"{folder}/rows/{batch_id}")
+        old = _carried(spark, f"{folder}/open", batch_id, schema)
+        before = _carried(spark, f"{folder}/newest", batch_id, "newest long").agg(F.max("newest")).first()[0]
+        newest = max((t for t in (before, rows.agg(F.max("ms")).first()[0]) if t is not None), default=None)
+        spark.createDataFrame([(newest,)], "newest long").write.mode("overwrite").parquet(f"{folder}/newest/{batch_id}")
+        known = rows.withColumn("_new", F.lit(True)).unionByName(old.withColumn("_new", F.lit(False)))
+        until = F.lit(newest).cast("bigint")
+        (known.where(F.col("ms") + app_wait_ms + third_wait_ms >= until).select(*old.columns)
+         .write.mode("overwrite").parquet(f"{folder}/open/{batch_id}"))
+
+        def log(side: str) -> DataFrame:
+            return known.where(F.col("side") == side).select(key, F.col("ms").alias(f"{side}_ms"),
+                                                             F.col("_new").alias(f"_{side}_new"))
+
+        def over(side: str, wait_ms: int):
+            end = F.col(f"{side}_ms") + wait_ms
+            return (end < until) & (F.col(f"_{side}_new") | (end >= F.lit(before).cast("bigint")))
+
+        met = F.col("_app_new") | F.col("_third_new")
+        out = (F.when(F.col("status") == "matched", met).when(F.col("status") == "third_missing", over("app", app_wait_ms))
+               .otherwise(over("third", third_wait_ms)))
+        both = joins.reconcile(log("app"), log("third"), key, app_wait_ms, third_wait_ms, keep=["_app_new", "_third_new"])
+        return both.where(out).drop("_app_new", "_third_new")
+    return step
+
+
 def lowest_watermark(inputs: int, bound_ms: int, idle_rows: int) -> Step:
     """The watermark of a union after each row, as ``lateness.union_watermark``; carried are the
     number of rows, two numbers for each input and the watermark."""

@@ -157,6 +157,45 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
     return spark.read.parquet(out)
 
 
+def replay_log(spark: SparkSession, log: DataFrame, ms: str, step: Callable[[DataFrame, int, str], DataFrame], *,
+               closing: dict[str, object], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Run ``step`` over the micro-batches of a log that is not stored yet, in the order of its
+    time ``ms``, and return what it emitted, with ``batch_id``.
+
+    The log is stored once and laid out as in :func:`replay`, but with a file for each core
+    of the cluster in a slice.  A row ``closing``, far past the newest one, follows at the end;
+    what it opens itself never comes out.
+    """
+    session = stream_session(spark)
+    folder = work_dir(spark, "replay")
+    log.write.parquet(f"{folder}/stored")
+    stored = spark.read.schema(log.schema).parquet(f"{folder}/stored")
+    rows, newest = stored.agg(F.count("*"), F.max(ms)).first()
+    if newest is None:  # nothing to take in order
+        return step(stored, 0, f"{folder}/checkpoint-kept").withColumn("batch_id", F.lit(0))
+    row = {**closing, ms: newest + CLOSING_AFTER // timedelta(milliseconds=1)}
+    last = spark.createDataFrame([tuple(row[c] for c in log.columns)], log.schema)
+    slices = max(1, -(-rows // rows_per_slice))
+    files = spark.sparkContext.defaultParallelism
+
+    def start(source: str, most: int | None) -> None:
+        stream = parquet_stream(session, source, log.schema, most)
+        finish(batches_to_table(stream, f"{folder}/out", f"{folder}/checkpoint", "append", step=step))
+
+    if _laid_out(stored, f"{folder}/source", slices * files, ms, last):
+        start(f"{folder}/source", files)
+    else:
+        parts = (stored.repartitionByRange(slices * files, ms)
+                 .withColumn("_slice", F.floor(F.spark_partition_id() / files).cast("int")))
+        parts.write.partitionBy("_slice").parquet(f"{folder}/stage")
+        found = spark.read.parquet(f"{folder}/stage").select("_slice").distinct().collect()
+        slice_of = [spark.read.schema(log.schema).parquet(f"{folder}/stage/_slice={i}") for i in sorted(r[0] for r in found)]
+        for part in [*slice_of, last]:
+            part.write.mode("append").parquet(f"{folder}/grown")
+            start(f"{folder}/grown", None)
+    return spark.read.parquet(f"{folder}/out")
+
+
 def write_slices(events: DataFrame, folder: str, order: str, n: int) -> None:
     """Cut stored events into ``n`` consecutive slices, one file each, oldest file first.
 
