@@ -29,7 +29,21 @@ def _cut(total: int, n: int) -> int:
 
 
 def frame(columns: list[str], rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=columns)
+    """Values stay what they are, so that a null among long numbers turns none into a double."""
+    return pd.DataFrame(rows, columns=columns, dtype=object)
+
+
+def listed(state: Any) -> list[tuple]:
+    """The entries of list state, none if there is no state: one call less than to ask first."""
+    return list(map(tuple, state.get()))
+
+
+def keep(state: Any, entries: list[tuple], had: bool) -> None:
+    """Replace list state, of which the caller knows whether it ``had`` entries."""
+    if entries:
+        state.put(entries)
+    elif had:
+        state.clear()
 
 
 class ArrivalProcessor(StatefulProcessor):
@@ -46,7 +60,10 @@ class ArrivalProcessor(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key: tuple, rows: Rows, timerValues: Any) -> Rows:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
+        frames = list(rows)
+        pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+        if not pdf["seq"].is_monotonic_increasing:
+            pdf = pdf.sort_values("seq", ignore_index=True)
         out = self.on_rows(key, pdf)
         if len(out):
             yield out
@@ -56,7 +73,8 @@ class ArrivalProcessor(StatefulProcessor):
 
     @staticmethod
     def value_or(state: Any, default: tuple) -> tuple:
-        return tuple(state.get()) if state.exists() else default
+        held = state.get()
+        return default if held is None else tuple(held)
 
 
 class EveryNth(ArrivalProcessor):
@@ -146,12 +164,13 @@ class CountChangelog(ArrivalProcessor):
 
     def on_rows(self, key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         (seen,) = self.value_or(self.count, (0,))
-        new = pd.DataFrame({"seq": pdf["seq"], "user_id": key[0], "op": "+U",
-                            "cnt": seen + 1 + np.arange(len(pdf))})
-        new.loc[new["cnt"] == 1, "op"] = "+I"
-        old = new[new["cnt"] > 1].assign(op="-U", cnt=lambda d: d["cnt"] - 1)
-        self.count.update((seen + len(pdf),))
-        return pd.concat([old, new], ignore_index=True)
+        n, seq = len(pdf), pdf["seq"].to_numpy()
+        cnt = seen + 1 + np.arange(n)
+        first = 0 if seen else 1  # the first row of a key replaces nothing
+        self.count.update((seen + n,))
+        return pd.DataFrame({"seq": np.concatenate([seq[first:], seq]), "user_id": key[0],
+                             "op": ["-U"] * (n - first) + ["+I"] * first + ["+U"] * (n - first),
+                             "cnt": np.concatenate([cnt[first:] - 1, cnt])})
 
 
 class RunningCount(ArrivalProcessor):
@@ -270,16 +289,21 @@ class EventTimeProcessor(StatefulProcessor):
 
     ``delay_ms`` is set where the wanted watermark is not the stream's own (see
     :class:`EventTimer`).  One timer per key is pending: the earliest thing to do.
+
+    An entry of the held state is a stretch of rows, a list for each column, not one row: what
+    an entry costs in the state store and on the way there is paid once for many rows.
     """
 
     HELD = "ts_ms long, seq long, url string"
+    ROWS_PER_ENTRY = 10_000
     delay_ms = 0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", self.HELD)
+        fields = [f.split() for f in self.HELD.split(",")]
+        self.names = [name for name, _ in fields]
+        self.held = handle.getListState("held", ", ".join(f"{name} array<{kind}>" for name, kind in fields))
         self.due = handle.getValueState("due", "ms long")
-        self.names = [f.strip().split(" ")[0] for f in self.HELD.split(",")]
         self.open()
 
     def open(self) -> None:
@@ -297,12 +321,8 @@ class EventTimeProcessor(StatefulProcessor):
         if not hasattr(self, "OUT"):
             self.OUT = ", ".join([key, *[c if " " in c else f"{c} long" for c in columns]])
 
-    def _arm(self, times: list[int]) -> None:
-        if not times:
-            self.due.clear()
-            return
-        wanted = min(times) - self.delay_ms
-        now = self.due.get()[0] if self.due.exists() else None
+    def _arm(self, wanted: int, now: int | None) -> None:
+        """Move the timer of the key from ``now``, if it has one, to ``wanted``."""
         if now == wanted:
             return
         if now is not None:
@@ -311,25 +331,30 @@ class EventTimeProcessor(StatefulProcessor):
         self.due.update((wanted,))
 
     def handleInputRows(self, key: tuple, rows: Rows, timerValues: Any) -> Rows:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        new = list(pdf[self.names].itertuples(index=False, name=None))
-        self.held.appendList(new)
-        earliest = [int(pdf["ts_ms"].min())]
-        if self.due.exists():
-            earliest.append(self.due.get()[0] + self.delay_ms)
-        self._arm(earliest)
+        times = []
+        for pdf in rows:
+            self.held.appendValue(tuple(pdf[c].tolist() for c in self.names))
+            times.append(int(pdf["ts_ms"].min()) - self.delay_ms)
+        due = self.due.get()
+        now = None if due is None else due[0]
+        self._arm(min(times if now is None else [*times, now]), now)
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Rows:
         watermark = timerValues.getCurrentWatermarkInMs() + self.delay_ms
-        self.due.clear()
-        held = sorted(map(tuple, self.held.get())) if self.held.exists() else []
+        entries = listed(self.held)
+        held = sorted(row for entry in entries for row in zip(*entry))
         ready = [r for r in held if r[0] <= watermark]
         rest = held[len(ready):]
         if ready:
-            self.held.put(rest) if rest else self.held.clear()
+            keep(self.held, [tuple(map(list, zip(*rest[i:i + self.ROWS_PER_ENTRY])))
+                             for i in range(0, len(rest), self.ROWS_PER_ENTRY)], bool(entries))
         out, deadline = self.on_ready(key, ready, watermark)
-        self._arm([t for t in ([rest[0][0]] if rest else []) + [deadline] if t is not None])
+        times = [t for t in ([rest[0][0]] if rest else []) + [deadline] if t is not None]
+        if times:
+            self._arm(min(times) - self.delay_ms, None)  # the engine removes the timer that fired
+        else:
+            self.due.clear()
         if out:
             yield frame(self.columns(), out)
 
@@ -349,7 +374,7 @@ class OverAverage(EventTimeProcessor):
         self.recent = self.handle.getListState("recent", "ts_ms long")
 
     def on_ready(self, key, ready, watermark):
-        times = [r[0] for r in self.recent.get()] if self.recent.exists() else []
+        times = [t for t, in listed(self.recent)]
         old = len(times)
         times += [r[0] for r in ready]
         out = []
@@ -372,14 +397,14 @@ class ConsecutiveMatch(EventTimeProcessor):
         self.run = self.handle.getListState("run", "ts_ms long")
 
     def on_ready(self, key, ready, watermark):
-        run = [r[0] for r in self.run.get()] if self.run.exists() else []
-        out = []
+        run = [t for t, in listed(self.run)]
+        had, out = bool(run), []
         for ms, _, kind in ready:
             run = [*run, ms][-self.times:] if kind == self.kind else []
             if len(run) == self.times and (self.within_ms is None or run[-1] - run[0] < self.within_ms):
                 out.append((key[0], *run))
         run = run[1 - self.times:] if self.times > 1 else []
-        self.run.put([(t,) for t in run]) if run else self.run.clear()
+        keep(self.run, [(t,) for t in run], had)
         return out, None
 
 
@@ -401,7 +426,8 @@ class SequenceMatch(EventTimeProcessor):
     def on_ready(self, key, ready, watermark):
         last = len(self.steps) - 1
         waits: list[list[tuple]] = [[] for _ in range(last)]
-        for reached, *times in (self.partial.get() if self.partial.exists() else ()):
+        partial = listed(self.partial)
+        for reached, *times in partial:
             waits[reached - 1].append(tuple(times[:reached]))
         out = []
         for ms, _, kind in ready:
@@ -422,7 +448,7 @@ class SequenceMatch(EventTimeProcessor):
                 waits[0].append((ms,))
         left = [(i + 1, *m, *[0] * (last - len(m))) for i, wait in enumerate(waits) for m in wait
                 if m[0] + self.within_ms > watermark]
-        self.partial.put(left) if left else self.partial.clear()
+        keep(self.partial, left, bool(partial))
         return out, None
 
 
@@ -447,7 +473,8 @@ class PatternMatch(EventTimeProcessor):
     def on_ready(self, key, ready, watermark):
         n = len(self.rows)
         waits: list[list[tuple]] = [[] for _ in range(n)]  # by the number of rows found
-        for reached, *times in (self.partial.get() if self.partial.exists() else ()):
+        partial = listed(self.partial)
+        for reached, *times in partial:
             waits[reached].append(tuple(times[:reached]))
         out: list[tuple] = []
         for ms, _, kind in ready:
@@ -469,13 +496,9 @@ class PatternMatch(EventTimeProcessor):
                     waits[reached] += grown
         out += [self._row(key, "timeout", m) for wait in waits for m in wait if m[0] + self.within_ms <= watermark]
         left = [(i, *m, *[0] * (n - i)) for i, wait in enumerate(waits) for m in wait if m[0] + self.within_ms > watermark]
-        self.partial.put(left) if left else self.partial.clear()
+        keep(self.partial, left, bool(partial))
         return out, min((r[1] + self.within_ms for r in left), default=None)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        for pdf in super().handleExpiredTimer(key, timerValues, expiredTimerInfo):
-            yield pdf.astype({f"t{i + 1}": "Int64" for i in range(len(self.rows))})
-
 
 class LivingCounts(EventTimeProcessor):
     """Counters of a key that live for a time after their last touch; see ``state_life``.
@@ -494,7 +517,7 @@ class LivingCounts(EventTimeProcessor):
         self.entries = self.handle.getMapState("entries", "entry string", "touched long, value long")
 
     def on_ready(self, key, ready, watermark):
-        old = {k[0]: tuple(v) for k, v in self.entries.iterator()} if self.entries.exists() else {}
+        old = {k[0]: tuple(v) for k, v in self.entries.iterator()}
         live, out = dict(old), []
         for ms, seq, kind in ready:
             if kind not in self.roles:
@@ -530,8 +553,8 @@ class FollowedBy(EventTimeProcessor):
         self.waiting = self.handle.getListState("waiting", "ts_ms long")
 
     def on_ready(self, key, ready, watermark):
-        waiting = [r[0] for r in self.waiting.get()] if self.waiting.exists() else []
-        out = []
+        waiting = [t for t, in listed(self.waiting)]
+        had, out = bool(waiting), []
         for ms, _, kind in ready:
             if kind == self.second:
                 out += [(key[0], t, ms, "matched") if ms - t < self.within_ms else (key[0], t, None, "timeout")
@@ -541,13 +564,9 @@ class FollowedBy(EventTimeProcessor):
                 waiting.append(ms)
         out += [(key[0], t, None, "timeout") for t in waiting if t + self.within_ms <= watermark]
         waiting = [t for t in waiting if t + self.within_ms > watermark]
-        self.waiting.put([(t,) for t in waiting]) if waiting else self.waiting.clear()
+        keep(self.waiting, [(t,) for t in waiting], had)
         return out, (waiting[0] + self.within_ms if waiting else None)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        for pdf in super().handleExpiredTimer(key, timerValues, expiredTimerInfo):
-            yield pdf.astype({"second_ms": "Int64"})
-
 
 class EventTimer(EventTimeProcessor):
     """Each row sets a timer ``after_ms`` past its time; equal timers of a key fire once.
@@ -577,7 +596,8 @@ class PeriodicCount(EventTimeProcessor):
         self.state = self.handle.getValueState("ticks", "next_tick long, seen long")
 
     def on_ready(self, key, ready, watermark):
-        tick, seen = tuple(self.state.get()) if self.state.exists() else (ready[0][0] + self.period_ms, 0)
+        ticks = self.state.get()
+        tick, seen = (ready[0][0] + self.period_ms, 0) if ticks is None else tuple(ticks)
         out, i = [], 0
         while tick <= watermark:
             while i < len(ready) and ready[i][0] <= tick:
