@@ -86,6 +86,18 @@ def _laid_out(stored: DataFrame, folder: str, slices: int, order: str | Column,
     return True
 
 
+def _slices(stored: DataFrame, folder: str, slices: int, order: str | Column) -> list[DataFrame]:
+    """Consecutive slices of the rows, in ``order``, stored by one job, in which all cores of the
+    cluster write at each slice."""
+    spark = stored.sparkSession
+    files = spark.sparkContext.defaultParallelism
+    (stored.repartitionByRange(slices * files, order)
+     .withColumn("slice", F.floor(F.spark_partition_id() / files).cast("int"))
+     .write.partitionBy("slice").parquet(folder))
+    found = spark.read.parquet(folder).select("slice").distinct().collect()
+    return [spark.read.schema(stored.schema).parquet(f"{folder}/slice={i}") for i in sorted(r[0] for r in found)]
+
+
 def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str, *,
            files_per_batch: int | None = None, rows_per_slice: int = ROWS_PER_SLICE, order: str | Column = "ts",
            mode: str = "append", closing: str | None = None, shape: Callable[[DataFrame], DataFrame] | None = None,
@@ -142,12 +154,9 @@ def replay(spark: SparkSession, job: Callable[[DataFrame], DataFrame], path: str
         if slices == 1:
             source, result = path, start(path, files_per_batch, more)
         else:
-            stage, source = f"{folder}/stage", f"{folder}/grown"
-            (stored.repartitionByRange(slices, order).withColumn("slice", F.spark_partition_id())
-             .write.partitionBy("slice").parquet(stage))
-            for i in sorted(r[0] for r in spark.read.parquet(stage).select("slice").distinct().collect()):
-                (spark.read.schema(EVENTS_SCHEMA).parquet(f"{stage}/slice={i}")
-                 .write.mode("append").parquet(source))
+            source = f"{folder}/grown"
+            for part in _slices(stored, f"{folder}/stage", slices, order):
+                part.write.mode("append").parquet(source)
                 result = start(source, None, more)
         if last is not None:
             last.write.mode("append").parquet(end)
@@ -185,12 +194,7 @@ def replay_log(spark: SparkSession, log: DataFrame, ms: str, step: Callable[[Dat
     if _laid_out(stored, f"{folder}/source", slices * files, ms, last):
         start(f"{folder}/source", files)
     else:
-        parts = (stored.repartitionByRange(slices * files, ms)
-                 .withColumn("_slice", F.floor(F.spark_partition_id() / files).cast("int")))
-        parts.write.partitionBy("_slice").parquet(f"{folder}/stage")
-        found = spark.read.parquet(f"{folder}/stage").select("_slice").distinct().collect()
-        slice_of = [spark.read.schema(log.schema).parquet(f"{folder}/stage/_slice={i}") for i in sorted(r[0] for r in found)]
-        for part in [*slice_of, last]:
+        for part in [*_slices(stored, f"{folder}/stage", slices, ms), last]:
             part.write.mode("append").parquet(f"{folder}/grown")
             start(f"{folder}/grown", None)
     return spark.read.parquet(f"{folder}/out")
